@@ -1,0 +1,6 @@
+"""All runnable queries."""
+
+from kinweave.catalog.registry import QUERIES
+from kinweave.catalog import ingest_queries  # noqa: F401
+
+__all__ = ["QUERIES"]

@@ -140,5 +140,7 @@ def golden_tables(res: Resolution, as_of: str) -> tuple[DataFrame, DataFrame]:
     for part in (survivorship.map_by_source(res.members, "crm_source_id", "crm_contact_ids"),
                  survivorship.map_by_source(res.members, "social_user_id", "social_user_ids"),
                  survivorship.json_shallow_merge(res.members)):
-        golden = golden.join(part, "master_profile_id", "left")
+        name = part.columns[-1]
+        empty = F.expr("cast(map() as map<string,string>)")
+        golden = golden.join(part, "master_profile_id", "left").withColumn(name, F.coalesce(name, empty))
     return golden, ids
