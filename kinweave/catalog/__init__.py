@@ -1,6 +1,8 @@
 """All runnable queries."""
 
 from kinweave.catalog.registry import QUERIES
-from kinweave.catalog import ingest_queries  # noqa: F401
+from kinweave.catalog import (  # noqa: F401
+    behavior_queries, ingest_queries, matching_queries, report_queries, resolution_queries, vector_queries,
+)
 
 __all__ = ["QUERIES"]

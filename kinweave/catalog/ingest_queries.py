@@ -68,7 +68,7 @@ def _(c):
 , e AS (SELECT eid, list_sort(list_filter([
     CASE WHEN k % 5 = 0 THEN 'missing:tpurl' END, CASE WHEN k = 27 THEN 'pattern:schema_version' END,
     CASE WHEN k % 3 <> 0 THEN 'uuid:event_id' END, 'uuid:visid',
-    CASE WHEN k % 6 = 0 THEN 'missing:source_system' END], x -> x IS NOT NULL)) AS errs FROM wire WHERE outcome = 'accepted')
+    CASE WHEN k % 6 = 0 THEN 'missing:source_system' END], lambda x: x IS NOT NULL)) AS errs FROM wire WHERE outcome = 'accepted')
 SELECT array_to_string(errs, ',') AS errors, count(*) AS events FROM e GROUP BY 1"""))
 def _(c):
     checked = ingest.validate_event_schema(ingest.accepted(parsed_wire(c)))
@@ -317,7 +317,7 @@ def _(c):
 
 @register("appended_sets", "O-V22", sql("""
 SELECT rid AS raw_profile_id, array_to_string(list_sort(list_distinct(list_filter([source_system, 'web', channel],
-  x -> x IS NOT NULL AND x <> '' AND x <> 'CRM'))), ',') AS sources FROM raw"""))
+  lambda x: x IS NOT NULL AND x <> '' AND x <> 'CRM'))), ',') AS sources FROM raw"""))
 def _(c):
     base = F.array("source_system", F.lit("web"))
     return c.raw().select("raw_profile_id", F.array_join(

@@ -75,7 +75,7 @@ def master_rule_values(masters: DataFrame, rules, secondary: bool = True,
     """Identifiers of the masters as rows: scalar columns, array members and map entries."""
     parts = []
     for r in rules:
-        arrays = [F.transform(c, lambda x, r=r: _normal(x, r)) for c in ARRAY_COLUMNS.get(r.attribute, ())
+        arrays = [F.transform(c, F.lower) if r.ignore_case else F.col(c) for c in ARRAY_COLUMNS.get(r.attribute, ())
                   if c in masters.columns and (secondary or r.kind == "array")]
         if r.kind == "column" and r.attribute in masters.columns:
             arrays.append(F.array(_normal(F.col(r.attribute), r)))

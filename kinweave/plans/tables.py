@@ -78,7 +78,16 @@ def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tracking events as base64 queue records holding JSON."""
+    """The tracking events as stored base64 queue records holding JSON."""
+    return stored(spark, sf_dir, "tracking_documents", lambda: _tracking_documents(spark, sf_dir))
+
+
+def wire_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored documents with the defects an ingest meets: cut JSON, no body, bad contacts, odd keys."""
+    return stored(spark, sf_dir, "wire_documents", lambda: _wire_documents(spark, sf_dir))
+
+
+def _tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tracking_events(spark, sf_dir)
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     doc = F.to_json(F.struct(
@@ -105,8 +114,8 @@ def tracking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("eid", F.base64(F.encode(doc, "UTF-8")).alias("data"))
 
 
-def wire_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the defects an ingest meets, chosen by ``k``: cut JSON, no body, bad contacts, odd keys."""
+def _wire_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The value of ``k`` chooses the defect.
     t = tracking_events(spark, sf_dir)
     k = F.col("k")
     phone = F.when(k == 21, "+84-bad").otherwise(F.concat(F.lit(" +849"), F.lpad(F.col("u").cast("string"), 8, "0")))
