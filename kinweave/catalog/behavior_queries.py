@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinweave.catalog.registry import register
-from kinweave.catalog.sql import sql
+from kinweave.catalog.sql import cents, sql
 from kinweave.operators import behavior, scoring
 from kinweave.plans.tables import AS_OF, PURCHASE_AS_OF
 
@@ -47,12 +47,12 @@ def _(c):
 
 
 @register("purchase_stats", "O-E5", sql("""
-SELECT mid AS master_profile_id, total_purchases, round(avg_order_value, 4) AS avg_order_value,
+SELECT mid AS master_profile_id, total_purchases, avg_order_value,
   strftime(first_day, '%Y-%m-%d') AS first_purchase_date, strftime(last_day, '%Y-%m-%d') AS last_purchase_date FROM stats"""))
 def _(c):
     day = lambda x: F.date_format(x, "yyyy-MM-dd").alias(x)
     return behavior.purchase_stats(c.purchases()).select(
-        MASTER, "total_purchases", F.round("avg_order_value", 4).alias("avg_order_value"), day("first_purchase_date"), day("last_purchase_date"))
+        MASTER, "total_purchases", "avg_order_value", day("first_purchase_date"), day("last_purchase_date"))
 
 
 @register("funnel", "O-E6", sql("""
@@ -167,9 +167,9 @@ def _(c):
 
 
 @register("customer_values", "O-K3 O-K4", """
-WITH p AS (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS a, min(CAST(o_orderdate AS DATE)) AS f, max(CAST(o_orderdate AS DATE)) AS l
+WITH p AS (SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS a, min(CAST(o_orderdate AS DATE)) AS f, max(CAST(o_orderdate AS DATE)) AS l
   FROM orders GROUP BY 1),
-v AS (SELECT *, round(a * CASE WHEN date_diff('day', f, l) <= 0 THEN n::DOUBLE ELSE n / (date_diff('day', f, l) / 365.25::DOUBLE) END * 5, 2) AS clv FROM p)
+v AS (SELECT *, """ + cents("a * CASE WHEN date_diff('day', f, l) <= 0 THEN n::DOUBLE ELSE n / (date_diff('day', f, l) / 365.25::DOUBLE) END * 5") + """ AS clv FROM p)
 SELECT o_custkey, clv, CASE WHEN n >= 20 AND clv >= 10000000 THEN 'Platinum' WHEN n >= 10 AND clv >= 5000000 THEN 'Gold'
   WHEN n >= 5 AND clv >= 1000000 THEN 'Silver' ELSE 'Bronze' END AS tier FROM v""")
 def _(c):

@@ -17,6 +17,11 @@ def us(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
+def cents(expr: str) -> str:
+    """Round the printed decimal value half up, as Spark does."""
+    return f"CAST(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,2)) AS DOUBLE)"
+
+
 BASE = f"""
 WITH RECURSIVE src AS (
   SELECT e.event_id AS eid, e.ts, e.user_id AS u, e.event_type, e.value, e.event_id % 4 AS d,
@@ -94,7 +99,7 @@ WITH RECURSIVE src AS (
   SELECT mid, count(*) FILTER (WHERE metric = 'page-view') AS pv, count(*) FILTER (WHERE metric = 'click-details') AS cl
   FROM ev WHERE mid IS NOT NULL GROUP BY mid
 ), stats AS (
-  SELECT mid, count(*) AS total_purchases, avg(amount) AS avg_order_value, min(day) AS first_day, max(day) AS last_day
+  SELECT mid, count(*) AS total_purchases, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS avg_order_value, min(day) AS first_day, max(day) AS last_day
   FROM buy WHERE mid IS NOT NULL GROUP BY mid
 ), trend AS (
   SELECT mid,
@@ -119,8 +124,8 @@ WITH RECURSIVE src AS (
     CASE WHEN last_seen_at >= TIMESTAMP '2024-01-24' THEN 100 WHEN last_seen_at >= TIMESTAMP '2024-01-01' THEN 75
       WHEN last_seen_at >= TIMESTAMP '2023-11-02' THEN 50 WHEN last_seen_at >= TIMESTAMP '2023-08-04' THEN 25 ELSE 0 END
       AS recency_score,
-    CASE WHEN st.total_purchases > 0 THEN round(st.avg_order_value * CASE WHEN date_diff('day', first_day, last_day) <= 0
-      THEN st.total_purchases::DOUBLE ELSE st.total_purchases / (date_diff('day', first_day, last_day) / 365.25::DOUBLE) END * 5, 2)
+    CASE WHEN st.total_purchases > 0 THEN {cents("""st.avg_order_value * CASE WHEN date_diff('day', first_day, last_day) <= 0
+      THEN st.total_purchases::DOUBLE ELSE st.total_purchases / (date_diff('day', first_day, last_day) / 365.25::DOUBLE) END * 5""")}
       ELSE 0.0 END AS clv,
     CAST(round(((CASE WHEN coalesce(email,'')<>'' THEN 1 ELSE 0 END) + (CASE WHEN coalesce(phone_number,'')<>'' THEN 1 ELSE 0 END)
       + (CASE WHEN coalesce(last_name,'')<>'' THEN 1 ELSE 0 END) + (CASE WHEN coalesce(city,'')<>'' THEN 1 ELSE 0 END)

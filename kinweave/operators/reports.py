@@ -113,7 +113,7 @@ def churn_heatmap(masters: DataFrame, by: str = "loyalty_tier",
                   labels=("Bronze", "Silver", "Gold", "Platinum")) -> DataFrame:
     """Profiles per churn decile (rows) and tier (columns)."""
     bucket = F.floor(F.col("churn_probability") * 10 + F.lit(1e-9)).alias("churn_bucket")
-    return masters.groupBy(bucket).pivot(by, list(labels)).agg(F.count("*")).fillna(0)
+    return masters.groupBy(bucket).pivot(by, list(labels)).agg(F.count(F.lit(1))).fillna(0)
 
 
 def coverage(raw: DataFrame, links: DataFrame) -> DataFrame:

@@ -14,9 +14,10 @@ from kinweave.operators.resolution import _CARRIED, pending_raw, resolve_sequent
 from kinweave.plans.storage import materialize
 from kinweave.streaming.store import append_upserts, current
 
-LINKS = T.StructType.fromDDL(
-    "raw_profile_id string, master_profile_id string, link_id string, linked_at timestamp_ntz, match_rule string, "
-    "matched_attribute string")
+LINKS = T.StructType(
+    [T.StructField(n, T.StringType()) for n in ("raw_profile_id", "master_profile_id", "link_id")]
+    + [T.StructField("linked_at", T.TimestampNTZType())]
+    + [T.StructField(n, T.StringType()) for n in ("match_rule", "matched_attribute")])
 
 
 @dataclass
