@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kinweave.functions.text import col
+from kinweave.functions.text import col, has_string_value
 
 # Fixed value: the DNS name space of RFC 4122.
 DNS_NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"
@@ -34,4 +34,4 @@ def event_id_hash(*parts) -> Column:
 def fallback_visitor_id(visid, *key_parts) -> Column:
     """The visitor id, or a stable UUID made from the other identifying parts when it is blank."""
     key = F.concat(*[F.coalesce(col(p), F.lit("")) for p in key_parts])
-    return F.when(F.coalesce(col(visid).rlike(r"(?U)\S"), F.lit(False)), col(visid)).otherwise(uuid5_dns(key))
+    return F.when(has_string_value(visid), col(visid)).otherwise(uuid5_dns(key))

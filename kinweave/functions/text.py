@@ -14,18 +14,22 @@ SCRIPT_PATTERN = r"(?is)<script.*?>.*?</script>"
 # Characters escaped for HTML, the ampersand first.
 HTML_ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"))
 
+# The characters counted as white space.
+SPACES = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+          "\u200a\u2028\u2029\u202f\u205f\u3000")
+
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip(c) -> Column:
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def has_string_value(c) -> Column:
     """True for text with at least one non-space character; NULL is false."""
-    return F.coalesce(col(c).rlike(r"(?U)\S"), F.lit(False))
+    return F.coalesce(F.length(strip(c)) > 0, F.lit(False))
 
 
 def is_valid_email(c) -> Column:
@@ -39,7 +43,8 @@ def is_valid_basic_phone(c) -> Column:
 
 def sanitize_text(c) -> Column:
     """Trim, delete script elements, escape the five HTML characters."""
-    out = F.regexp_replace(strip(c), SCRIPT_PATTERN, "")
+    bare = strip(c)
+    out = F.when(bare.contains("<"), F.regexp_replace(bare, SCRIPT_PATTERN, "")).otherwise(bare)
     for plain, escaped in HTML_ESCAPES:
         out = F.replace(out, F.lit(plain), F.lit(escaped))
     return out

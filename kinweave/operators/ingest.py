@@ -11,7 +11,6 @@ from kinweave.functions.text import (
     has_string_value, is_valid_basic_phone, is_valid_email, sanitize_text, strip,
 )
 from kinweave.schema import RAW_TEXT_COLUMNS, RAW_TYPES
-from kinweave.sources.events import is_json_string
 
 # Document rules.
 SCHEMA_VERSION_PATTERN = r"^\d{4}\.\d{2}\.\d{2}$"
@@ -27,13 +26,10 @@ def has_trait(key: str) -> Column:
     return F.coalesce(F.map_contains_key("profile_traits", key), F.lit(False))
 
 
-def is_valid_track_event(body: str | None = None) -> Column:
-    """Ids of 1 to 36 characters and a metric below 50; with ``body`` the JSON types are checked too."""
+def is_valid_track_event() -> Column:
+    """String ids of 1 to 36 characters and a string metric below 50."""
     ok = (F.length("visid").between(1, 36) & F.length("tenant_id").between(1, 36) & (F.length("metric") < 50))
-    if body is not None:
-        for field in ("visid", "tenant_id", "metric"):
-            ok = ok & is_json_string(F.col(body), field)
-    return F.coalesce(ok, F.lit(False))
+    return F.coalesce(ok & F.col("_typed"), F.lit(False))
 
 
 def schema_errors() -> Column:
@@ -62,7 +58,7 @@ def route_ingest(df: DataFrame, body: str = "value") -> DataFrame:
     missing = F.coalesce(F.length(body), F.lit(0)) == 0
     outcome = (
         F.when(missing, "missing_body").when(F.col("_corrupt").isNotNull(), "bad_json")
-        .when(is_valid_track_event(body), "accepted").otherwise("invalid")
+        .when(is_valid_track_event(), "accepted").otherwise("invalid")
     )
     status = F.when(F.col("outcome") == "accepted", 200).when(F.col("outcome") == "missing_body", 500).otherwise(400)
     return df.withColumn("outcome", outcome).withColumn("status", status)
@@ -171,6 +167,15 @@ def dedupe_last(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return best.select("_row.*")
 
 
+def staging_rows(events: DataFrame, received_at: Column, order: list) -> DataFrame:
+    """Newest staging row per tenant and visitor. Older documents are dropped before the costly cleaning."""
+    columns = ["tenant_id", "visid", "observer_id", "mediahost", "schema_version", "profile_traits", "event_id"]
+    slim = add_visitor_id(events).select("web_visitor_id", *columns, received_at.alias("_received"),
+                                         F.struct(*order).alias("_order"))
+    newest = dedupe_last(slim, ["tenant_id", "web_visitor_id"], ["_order"])
+    return events_to_raw_profiles(newest, F.col("_received"))
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     """Insert or overwrite by key: incoming values win, NULL included; ``keep`` columns stay as first stored."""
     new = incoming.select(*keys, F.struct(*[c for c in existing.columns if c not in keys]).alias("_new"))

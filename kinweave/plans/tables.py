@@ -24,6 +24,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table of few files; a table of many files keeps its scan partitions."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]) -> object:
     """Build a shared intermediate table once per application and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -35,7 +41,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], obje
 
 def tracking_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat tracking event per row of ``events``, with the traits of its customer."""
-    ev = read(spark, sf_dir, "events").select(
+    ev = spread(read(spark, sf_dir, "events")).select(
         F.col("event_id").alias("eid"), F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("user_id").alias("u"),
         "event_type", "value", F.get_json_object("props", "$.k").cast("long").alias("k"))
     customer = read(spark, sf_dir, "customer").select(
@@ -151,7 +157,7 @@ def routed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accepted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         ok = ingest.classify_records(ingest.accepted(routed_events(spark, sf_dir)))
-        return ok.where("record_state = 'Ok'").drop("data", "value", "_corrupt").withColumn(
+        return ok.where("record_state = 'Ok'").drop("data", "value", "_corrupt", "_typed").withColumn(
             "ts", F.col("datetime").cast("timestamp_ntz"))
     return stored(spark, sf_dir, "accepted_events", build)
 
@@ -160,9 +166,8 @@ def raw_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging table: last accepted event per tenant and visitor."""
     def build():
         events = accepted_events(spark, sf_dir)
-        flat = ingest.events_to_raw_profiles(events, F.col("datetime"))
-        flat = flat.withColumn("eid", F.col("event_id").cast("long"))
-        return ingest.dedupe_last(flat, ["tenant_id", "web_visitor_id"], ["received_at", "eid"])
+        order = [F.col("ts"), F.col("event_id").cast("long")]
+        return ingest.staging_rows(events, F.col("datetime"), order)
     return stored(spark, sf_dir, "raw_profiles", build)
 
 

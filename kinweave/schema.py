@@ -13,9 +13,12 @@ _EVENT_TEXT = (
     "platform", "user_agent", "app_version", "device", "open_in_app", "purchase_flow", "invoice_number",
 )
 
+# Fields whose JSON type decides about acceptance; they are parsed as variants so that the type is kept.
+TYPED_FIELDS = ("tenant_id", "visid", "metric")
+
 # The known part of a tracking document; unknown fields are allowed and ignored.
 TRACKING_EVENT = T.StructType(
-    [T.StructField(n, T.StringType()) for n in _EVENT_TEXT]
+    [T.StructField(n, T.VariantType() if n in TYPED_FIELDS else T.StringType()) for n in _EVENT_TEXT]
     + [
         T.StructField("event_date", T.DoubleType()),
         T.StructField("unix_timestamp", T.DoubleType()),

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinweave.schema import TRACKING_EVENT
+from kinweave.schema import TRACKING_EVENT, TYPED_FIELDS
 
 _JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
@@ -19,9 +19,18 @@ def read_tracking_events(spark: SparkSession, path: str, fmt: str = "text", stre
 
 
 def parse_documents(df: DataFrame, body: str = "value") -> DataFrame:
-    """Parse the document column: its fields become columns, ``_corrupt`` holds text that is no JSON object."""
+    """Parse the document column once: its fields become columns, ``_corrupt`` holds text that is no JSON object.
+
+    ``_typed`` tells whether the identifying fields are JSON strings.
+    """
     parsed = df.withColumn("_doc", F.from_json(F.col(body), TRACKING_EVENT, _JSON_OPTIONS))
-    return parsed.select(*df.columns, "_doc.*")
+    kind = lambda f: F.coalesce(F.schema_of_variant(F.col(f"_doc.{f}")) == "STRING", F.lit(False))
+    typed = kind(TYPED_FIELDS[0])
+    for f in TYPED_FIELDS[1:]:
+        typed = typed & kind(f)
+    fields = [F.try_variant_get(F.col(f"_doc.{n}"), "$", "string").alias(n) if n in TYPED_FIELDS else F.col(f"_doc.{n}")
+              for n in TRACKING_EVENT.fieldNames()]
+    return parsed.select(*df.columns, *fields, typed.alias("_typed"))
 
 
 def decode_envelope(df: DataFrame, data_col: str = "data", body: str = "value") -> DataFrame:
@@ -30,12 +39,6 @@ def decode_envelope(df: DataFrame, data_col: str = "data", body: str = "value")
     return parse_documents(df.withColumn(body, text), body)
 
 
-def is_json_string(body, field: str) -> Column:
-    """True when the top-level field of the document is a JSON string."""
-    value = F.try_variant_get(F.try_parse_json(body), f"$.{field}", "variant")
-    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
-
-
 def read_bulk_profiles(spark: SparkSession, path: str, fmt: str, mapping: dict[str, str],
                        options: dict | None = None) -> DataFrame:
     """Load a JSON, CSV, ORC or Parquet extract and rename its fields to staging attributes.

@@ -22,8 +22,7 @@ def routed(stream: DataFrame, body: str = "value") -> DataFrame:
 def staging_rows(batch: DataFrame) -> DataFrame:
     """Last staging row per visitor of a micro-batch; bad contacts are left out."""
     ok = ingest.classify_records(ingest.accepted(batch)).where("record_state = 'Ok'")
-    flat = ingest.events_to_raw_profiles(ok, F.col("datetime"))
-    return ingest.dedupe_last(flat, ["tenant_id", "web_visitor_id"], ["received_at", "event_id"])
+    return ingest.staging_rows(ok, F.col("datetime"), ["datetime", "event_id"])
 
 
 def start_ingest(stream: DataFrame, accepted_path: str, dead_letter_path: str, staging_path: str, checkpoint: str,
