@@ -20,6 +20,8 @@ exchanged: no group is ever gathered in a task. The earliest undecided row is al
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -29,6 +31,8 @@ from kinweave.plans.storage import materialize
 
 # Rows of one key are scanned in blocks of this many sequence numbers.
 BLOCK_BITS = 17
+# The state is a union of what each round added; it is folded into one table after so many rounds.
+COMPACT_EVERY = 5
 
 
 def _encode(nodes: DataFrame, column: str, key: str, rows: int, min_hot_rows: int) -> DataFrame:
@@ -68,34 +72,31 @@ def resolve_in_order(nodes: DataFrame, first: str = "email_key", second: str = "
     # Who owns a first key since when; which master acquired a second key when; when a master's slots were filled.
     own_a = prior.where("a is not null").groupBy("a").agg(F.min("seq").alias("m")).withColumn("at", F.col("m"))
     own_b = prior.where("b is not null").select("b", F.col("seq").alias("m"), F.col("seq").alias("at"))
-    slots = prior.select(F.col("seq").alias("m"), F.when(F.col("a").isNotNull(), F.col("seq")).alias("a_at"),
-                         F.when(F.col("b").isNotNull(), F.col("seq")).alias("b_at"))
+    filled = prior.select(F.col("seq").alias("m"), F.when(F.col("a").isNotNull(), F.col("seq")).alias("a_at"),
+                          F.when(F.col("b").isNotNull(), F.col("seq")).alias("b_at"))
     left = keyed.where("not is_prior").select("seq", "a", "b")
     waiting = left.count()
+    none = F.lit(None).cast("long")
 
-    for _ in range(max_rounds):
+    for turn in range(max_rounds):
         if waiting == 0:
-            out = done[0]
-            for d in done[1:]:
-                out = out.unionByName(d)
-            return out
+            return reduce(DataFrame.unionByName, done)
+        slots = filled.groupBy("m").agg(F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at"))
         # Rows whose first key is owned: final at once. Their first second-key value fills an empty slot of the owner.
-        seen = lookup_join(left, own_a.select("a", F.col("m").alias("am"), F.col("at").alias("a_since")), "a", waiting,
-                           min_hot_rows)
+        owners = own_a.select("a", F.col("m").alias("am"), F.col("at").alias("a_since"))
+        seen = lookup_join(left, owners, "a", waiting, min_hot_rows)
         seen = materialize(seen.withColumn("by_a", F.coalesce(F.col("a_since") < F.col("seq"), F.lit(False))))
         by_a = seen.where("by_a").select("seq", "am", "b")
-        fills_b = by_a.where("b is not null").groupBy("am").agg(
-            F.min(F.struct("seq", "b")).alias("f")).select(F.col("am").alias("m"), "f.*")
-        fills_b = fills_b.join(slots, "m").where("b_at is null").select("m", "b", F.col("seq").alias("at"))
-        fills_b = materialize(fills_b)
-        own_b = own_b.unionByName(fills_b.select("b", "m", "at"))
-        slots = slots.join(fills_b.select("m", F.col("at").alias("new_b")), "m", "left").select(
-            "m", "a_at", F.coalesce("b_at", "new_b").alias("b_at"))
+        done.append(by_a.select("seq", F.col("am").alias("master"), F.lit(first).alias("how")))
+        fills_b = by_a.where("b is not null").groupBy(F.col("am").alias("m")).agg(F.min(F.struct("seq", "b")).alias("f"))
+        fills_b = materialize(fills_b.join(slots, "m").where("b_at is null").select(
+            "m", F.col("f.b").alias("b"), F.col("f.seq").alias("at")))
+        own_b = own_b.unionByName(fills_b)
+        filled = filled.unionByName(fills_b.select("m", none.alias("a_at"), F.col("at").alias("b_at")))
 
         # The other rows: who owns the second key at their turn, and is that master's first slot filled by then?
         rest = seen.where("not by_a").select("seq", "a", "b")
-        owner = _owner_so_far(rest.where("b is not null"), own_b, block_bits)
-        rest = rest.join(owner, "seq", "left")
+        rest = rest.join(_owner_so_far(rest.where("b is not null"), own_b, block_bits), "seq", "left")
         rest = lookup_join(rest, slots.select(F.col("m").alias("owner"), "a_at"), "owner", waiting, min_hot_rows)
         owned = F.col("owner").isNotNull()
         full = owned & F.coalesce(F.col("a_at") < F.col("seq"), F.lit(False))
@@ -104,34 +105,32 @@ def resolve_in_order(nodes: DataFrame, first: str = "email_key", second: str = "
         at_a = rest.where("a is not null").groupBy("a").agg(
             F.min(F.when(~F.col("full"), F.col("seq"))).alias("stop_a"),
             F.min(F.when(F.col("b").isNull(), F.col("seq"))).alias("bare_a"))
-        rest = lookup_join(rest, at_a, "a", waiting, min_hot_rows)
+        with_a = lookup_join(rest, at_a, "a", waiting, min_hot_rows)
         risky = ~F.col("owned") | F.coalesce(F.col("bare_a") < F.col("seq"), F.lit(False))
         filling = F.col("owned") & ~F.col("full") & F.col("a").isNotNull()
-        at_b = rest.where("b is not null").groupBy("b").agg(
+        at_b = with_a.where("b is not null").groupBy("b").agg(
             F.min(F.when(risky, F.col("seq"))).alias("stop_b"), F.min(F.when(filling, F.col("seq"))).alias("fill_b"))
-        rest = lookup_join(rest, at_b, "b", waiting, min_hot_rows)
+        with_b = lookup_join(with_a, at_b, "b", waiting, min_hot_rows)
         no_later = lambda stop: F.col(stop).isNull() | (F.col("seq") <= F.col(stop))
         ready = no_later("stop_a") & no_later("stop_b") & (~filling | no_later("fill_b"))
-        rest = materialize(rest.withColumn("ready", ready).withColumn("filling", filling))
-
-        settled = rest.where("ready")
-        decided = materialize(
-            by_a.select("seq", F.col("am").alias("master"), F.lit(first).alias("how")).unionByName(
-                settled.select("seq", F.coalesce("owner", "seq").alias("master"),
-                               F.when(F.col("owned"), second).otherwise("new").alias("how"))))
-        done.append(decided)
-        founders = settled.where("not owned")
-        takers = settled.where("filling")
-        new_a = founders.where("a is not null").select("a", F.col("seq").alias("m"), F.col("seq").alias("at")).unionByName(
+        judged = materialize(with_b.select("seq", "a", "b", "owner", "owned", filling.alias("filling"), ready.alias("ready")))
+
+        settled = judged.where("ready")
+        done.append(settled.select("seq", F.coalesce("owner", "seq").alias("master"),
+                                   F.when(F.col("owned"), second).otherwise("new").alias("how")))
+        founders, takers = settled.where("not owned"), settled.where("filling")
+        own_a = own_a.unionByName(
+            founders.where("a is not null").select("a", F.col("seq").alias("m"), F.col("seq").alias("at"))).unionByName(
             takers.select("a", F.col("owner").alias("m"), F.col("seq").alias("at")))
-        own_a = materialize(own_a.unionByName(new_a))
-        own_b = materialize(own_b.unionByName(founders.where("b is not null").select(
-            "b", F.col("seq").alias("m"), F.col("seq").alias("at"))))
-        slots = slots.join(takers.select(F.col("owner").alias("m"), F.col("seq").alias("new_a")), "m", "left").select(
-            "m", F.coalesce("a_at", "new_a").alias("a_at"), "b_at")
-        slots = materialize(slots.unionByName(founders.select(
+        own_b = own_b.unionByName(founders.where("b is not null").select(
+            "b", F.col("seq").alias("m"), F.col("seq").alias("at")))
+        filled = filled.unionByName(takers.select(F.col("owner").alias("m"), F.col("seq").alias("a_at"), none.alias("b_at")))
+        filled = filled.unionByName(founders.select(
             F.col("seq").alias("m"), F.when(F.col("a").isNotNull(), F.col("seq")).alias("a_at"),
-            F.when(F.col("b").isNotNull(), F.col("seq")).alias("b_at"))))
-        left = rest.where("not ready").select("seq", "a", "b")
+            F.when(F.col("b").isNotNull(), F.col("seq")).alias("b_at")))
+        if turn % COMPACT_EVERY == COMPACT_EVERY - 1:
+            own_a, own_b, filled = materialize(own_a), materialize(own_b), materialize(filled)
+            done = [materialize(reduce(DataFrame.unionByName, done))]
+        left = judged.where("not ready").select("seq", "a", "b")
         waiting = left.count()
     raise RuntimeError(f"rows still undecided after {max_rounds} rounds: {waiting}")

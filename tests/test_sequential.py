@@ -57,11 +57,20 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_rows(spark, name, seed):
-    rows = random_rows(seed, **CASES[name])
-    assert run(spark, rows, block_bits=4, min_hot_rows=20) == one_by_one(rows)
+def test_random_rows(spark):
+    """Many random histories at once: tenants do not see each other."""
+    parts = []
+    for name, options in CASES.items():
+        for seed in (1, 2, 3):
+            parts.append([(t + f"-{name}-{seed}", p, a, b) for _, t, p, a, b in random_rows(seed, **options)])
+    rng = random.Random(7)
+    queue, mixed = [list(p) for p in parts], []
+    while any(queue):
+        q = rng.choice([q for q in queue if q])
+        mixed.append(q.pop(0))
+    mixed.sort(key=lambda r: not r[1])
+    rows = [(i, *r) for i, r in enumerate(mixed)]
+    assert run(spark, rows, block_bits=6, min_hot_rows=60) == one_by_one(rows)
 
 
 @pytest.mark.parametrize("order", ["ABC", "CAB"])
