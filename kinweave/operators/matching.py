@@ -129,11 +129,18 @@ def composite_key(fields: list[str], ignore_case=("email",)) -> Column:
     return F.when(filled, F.to_json(F.array(*parts)))
 
 
-def composite_rule_match(raw: DataFrame, masters: DataFrame, alternatives: list[list[str]]) -> DataFrame:
-    """A disjunction of conjunctions such as ``email OR (phone AND name)``: one equi join over all alternatives."""
+def composite_rule_match(raw: DataFrame, masters: DataFrame, alternatives: list[list[str]],
+                         ranks: list[int] | None = None) -> DataFrame:
+    """A disjunction of conjunctions such as ``email OR (phone AND name)``: one equi join over all alternatives.
+
+    Alternatives come in order of priority; ``ranks`` gives several of them the same priority.
+    """
+    ranks = ranks or list(range(1, len(alternatives) + 1))
+
     def keyed(df, cols):
-        items = F.array(*[F.struct(F.lit(i + 1).alias("rule_id"), F.lit("+".join(a)).alias("attribute"),
-                                   composite_key(a).alias("value")) for i, a in enumerate(alternatives)])
+        items = F.array(*[F.struct(F.lit(n).alias("rule_id"), F.lit("+".join(a)).alias("attribute"),
+                                   F.concat(F.lit("+".join(a)), composite_key(a)).alias("value"))
+                          for n, a in zip(ranks, alternatives)])
         return df.select(*cols, "tenant_id", F.explode(items).alias("i")).select(
             *cols, "tenant_id", "i.*").where("value is not null")
     return pick_candidate(exact_match(keyed(raw, ["raw_profile_id"]),
@@ -162,9 +169,10 @@ def probabilistic_match(raw: DataFrame, masters: DataFrame, weights: dict[str, f
     sets.sort(key=lambda s: (-sum(weights[f] for f in s), s))
     if not sets:
         raise ValueError("no field combination reaches the threshold")
-    best = composite_rule_match(raw, masters, sets)
-    score = F.create_map(*[F.lit(x) for i, s in enumerate(sets)
-                           for x in (i + 1, float(round(sum(weights[f] for f in s), 6)))])
+    totals = [round(sum(weights[f] for f in s), 6) for s in sets]
+    levels = sorted(set(totals), reverse=True)
+    best = composite_rule_match(raw, masters, sets, [levels.index(t) + 1 for t in totals])
+    score = F.create_map(*[F.lit(x) for i, t in enumerate(levels) for x in (i + 1, float(t))])
     return best.select("raw_profile_id", "master_profile_id", score[F.col("rule_id")].alias("score"),
                        F.col("matched_attribute").alias("agreeing"))
 
