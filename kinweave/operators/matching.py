@@ -121,12 +121,12 @@ def pick_candidate(candidates: DataFrame) -> DataFrame:
 
 
 def composite_key(fields: list[str], ignore_case=("email",)) -> Column:
-    """All fields joined into one key, NULL when one of them is blank."""
+    """All fields as one key, NULL when one of them is blank."""
     parts = [F.lower(f) if f in ignore_case else F.col(f) for f in fields]
     filled = None
     for f in fields:
         filled = has_string_value(f) if filled is None else filled & has_string_value(f)
-    return F.when(filled, F.to_json(F.array(*parts)))
+    return F.when(filled, F.array(*parts))
 
 
 def composite_rule_match(raw: DataFrame, masters: DataFrame, alternatives: list[list[str]],
@@ -139,7 +139,7 @@ def composite_rule_match(raw: DataFrame, masters: DataFrame, alternatives: list[
 
     def keyed(df, cols):
         items = F.array(*[F.struct(F.lit(n).alias("rule_id"), F.lit("+".join(a)).alias("attribute"),
-                                   F.concat(F.lit("+".join(a)), composite_key(a)).alias("value"))
+                                   F.concat(F.array(F.lit("+".join(a))), composite_key(a)).alias("value"))
                           for n, a in zip(ranks, alternatives)])
         return df.select(*cols, "tenant_id", F.explode(items).alias("i")).select(
             *cols, "tenant_id", "i.*").where("value is not null")
@@ -199,12 +199,11 @@ def merge_guard(raw: DataFrame, masters: DataFrame, weak_key: str, fields: list[
                 valid = F.lit(True)
                 for p in parts:
                     valid = valid & p.isNotNull()
-                out.append(F.when(valid, F.struct(F.lit(i + 1).alias("rule_id"), F.lit(weak_key).alias("attribute"),
-                                                  F.to_json(F.array(F.col(weak_key), *parts)).alias("value"))))
+                out.append(F.when(valid, F.struct(F.lit(1).alias("rule_id"), F.lit(weak_key).alias("attribute"),
+                                                  F.array(F.lit(str(i)), F.col(weak_key), *parts).alias("value"))))
         return (
             df.where(has_string_value(weak_key)).select(*cols, "tenant_id", F.explode(F.array_compact(F.array(*out))).alias("i"))
-            .select(*cols, "tenant_id", F.lit(1).alias("rule_id"), "i.attribute",
-                    F.concat_ws(":", "i.rule_id", "i.value").alias("value"))
+            .select(*cols, "tenant_id", "i.*")
         )
 
     master_offer = lambda v, c: F.coalesce(v, blank) if c == 0 else any_

@@ -100,11 +100,14 @@ def resolve_transitive(raw: DataFrame, masters: DataFrame | None = None, rules=D
     numbered = number_rows(raw, masters)
     rows = numbered.count()
     values = raw_rule_values(numbered.where("not is_prior"), rules, ("seq",))
+    most = rows * len(rules)
     if masters is not None:
         prior = master_rule_values(masters, rules, id_cols=("master_profile_id",))
         seqs = numbered.where("is_prior").select("seq", F.col("prior_id").alias("master_profile_id"))
         values = values.unionByName(prior.join(seqs, "master_profile_id").drop("master_profile_id"))
-    edges = materialize(hub_edges(materialize(values), ["tenant_id", "rule_id", "value"], "seq", min_hot_rows))
+        values = materialize(values)
+        most = values.count()
+    edges = materialize(hub_edges(values, ["tenant_id", "rule_id", "value"], "seq", min_hot_rows, most))
     roots = connected_components(edges, min_hot_rows=min_hot_rows)
     how = edges.groupBy("u").agg(F.min(F.struct("rule_id", "attribute")).alias("h"))
     groups = (

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from kinweave.plans.skew import MIN_HOT_ROWS, lookup_join
+from kinweave.plans.skew import MIN_HOT_ROWS, lookup_join, with_minimum
 from kinweave.plans.storage import materialize
 
 # Rows of one key are scanned in blocks of this many sequence numbers.
@@ -37,25 +37,40 @@ COMPACT_EVERY = 5
 
 def _encode(nodes: DataFrame, column: str, key: str, rows: int, min_hot_rows: int) -> DataFrame:
     """Replace an identifier text by a long: the smallest sequence number carrying it in its tenant."""
-    first = nodes.where(F.col(column) != "").groupBy("tenant_id", column).agg(F.min("seq").alias(key))
-    return lookup_join(nodes, first, ["tenant_id", column], rows, min_hot_rows).drop(column)
+    filled = nodes.withColumn(column, F.when(F.col(column) != "", F.col(column)))
+    return with_minimum(filled, [column, "tenant_id"], {key: F.col("seq")}, rows, min_hot_rows).drop(column)
 
 
-def _owner_so_far(waiting: DataFrame, taken: DataFrame, block_bits: int) -> DataFrame:
-    """For each waiting row the oldest master that had acquired its second key before it (NULL if none).
+def _owner_so_far(waiting: DataFrame, taken: DataFrame, small: bool, block_bits: int) -> DataFrame:
+    """Each waiting row with the oldest master that had acquired its second key before it (NULL if none).
 
-    A running minimum per key in two levels: the minimum of all earlier blocks comes from one row per key and block, the
-    rest from a window inside a block, so a hot key is spread over its blocks.
+    A running minimum per key. On large tables it has two levels: the minimum of all earlier blocks comes from one row per
+    key and block, the rest from a window inside a block, so a hot key is spread over its blocks.
     """
-    rows = waiting.select("b", "seq", F.lit(None).cast("long").alias("m")).unionByName(
-        taken.select("b", F.col("at").alias("seq"), "m")).withColumn("block", F.shiftright("seq", block_bits))
-    per_block = rows.where("m is not null").groupBy("b", "block").agg(F.min("m").alias("bm"))
-    marks = rows.select("b", "block").distinct().join(per_block, ["b", "block"], "left")
+    none = F.lit(None).cast("long")
+    rows = waiting.select("seq", "a", "b", none.alias("m"), F.lit(True).alias("asks")).unionByName(
+        taken.select(F.col("at").alias("seq"), none.alias("a"), "b", "m", F.lit(False).alias("asks")))
+    before = lambda w: F.min("m").over(w.orderBy("seq").rowsBetween(W.unboundedPreceding, -1))
+    if small:
+        return rows.withColumn("owner", before(W.partitionBy("b"))).where("asks").select("seq", "a", "b", "owner")
+    rows = rows.withColumn("block", F.shiftright("seq", block_bits))
+    per_block = rows.where("b is not null").groupBy("b", "block").agg(F.min("m").alias("bm"))
     earlier = W.partitionBy("b").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    marks = marks.select("b", "block", F.min("bm").over(earlier).alias("before"))
-    inside = W.partitionBy("b", "block").orderBy("seq").rowsBetween(W.unboundedPreceding, -1)
-    local = rows.withColumn("local", F.min("m").over(inside)).where("m is null")
-    return local.join(marks, ["b", "block"]).select("seq", F.least("before", "local").alias("owner"))
+    marks = per_block.select("b", "block", F.min("bm").over(earlier).alias("before"))
+    local = rows.withColumn("local", before(W.partitionBy("b", "block"))).where("asks")
+    return local.join(marks, ["b", "block"], "left").select("seq", "a", "b", F.least("before", "local").alias("owner"))
+
+
+def _settle_owned(left: DataFrame, own_a: DataFrame, slots: DataFrame, waiting: int, min_hot_rows: int):
+    """Split off the rows whose first key is owned, and find the first second-key value each open owner gets from them."""
+    owners = own_a.select("a", F.col("m").alias("am"), F.col("at").alias("a_since"))
+    seen = lookup_join(left, owners, "a", waiting, min_hot_rows)
+    seen = materialize(seen.withColumn("by_a", F.coalesce(F.col("a_since") < F.col("seq"), F.lit(False))))
+    by_a = seen.where("by_a").select("seq", "am", "b")
+    fills_b = by_a.where("b is not null").groupBy(F.col("am").alias("m")).agg(F.min(F.struct("seq", "b")).alias("f"))
+    fills_b = materialize(fills_b.join(slots, "m").where("b_at is null").select(
+        "m", F.col("f.b").alias("b"), F.col("f.seq").alias("at")))
+    return seen.where("not by_a").select("seq", "a", "b"), by_a, fills_b
 
 
 def resolve_in_order(nodes: DataFrame, first: str = "email_key", second: str = "phone_key", max_rounds: int = 10_000,
@@ -77,40 +92,37 @@ def resolve_in_order(nodes: DataFrame, first: str = "email_key", second: str = "
     left = keyed.where("not is_prior").select("seq", "a", "b")
     waiting = left.count()
     none = F.lit(None).cast("long")
+    small = rows <= min_hot_rows
+    # On small tables the steps of a round form one chain, so nothing in between needs to be stored.
+    keep = (lambda df: df) if small else materialize
 
     for turn in range(max_rounds):
         if waiting == 0:
             return reduce(DataFrame.unionByName, done)
         slots = filled.groupBy("m").agg(F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at"))
         # Rows whose first key is owned: final at once. Their first second-key value fills an empty slot of the owner.
-        owners = own_a.select("a", F.col("m").alias("am"), F.col("at").alias("a_since"))
-        seen = lookup_join(left, owners, "a", waiting, min_hot_rows)
-        seen = materialize(seen.withColumn("by_a", F.coalesce(F.col("a_since") < F.col("seq"), F.lit(False))))
-        by_a = seen.where("by_a").select("seq", "am", "b")
-        done.append(by_a.select("seq", F.col("am").alias("master"), F.lit(first).alias("how")))
-        fills_b = by_a.where("b is not null").groupBy(F.col("am").alias("m")).agg(F.min(F.struct("seq", "b")).alias("f"))
-        fills_b = materialize(fills_b.join(slots, "m").where("b_at is null").select(
-            "m", F.col("f.b").alias("b"), F.col("f.seq").alias("at")))
-        own_b = own_b.unionByName(fills_b)
-        filled = filled.unionByName(fills_b.select("m", none.alias("a_at"), F.col("at").alias("b_at")))
+        if turn == 0 and rows == waiting:
+            rest = left
+        else:
+            rest, by_a, fills_b = _settle_owned(left, own_a, slots, waiting, min_hot_rows)
+            done.append(by_a.select("seq", F.col("am").alias("master"), F.lit(first).alias("how")))
+            own_b = own_b.unionByName(fills_b)
+            filled = filled.unionByName(fills_b.select("m", none.alias("a_at"), F.col("at").alias("b_at")))
+            slots = filled.groupBy("m").agg(F.min("a_at").alias("a_at"), F.min("b_at").alias("b_at"))
 
         # The other rows: who owns the second key at their turn, and is that master's first slot filled by then?
-        rest = seen.where("not by_a").select("seq", "a", "b")
-        rest = rest.join(_owner_so_far(rest.where("b is not null"), own_b, block_bits), "seq", "left")
+        rest = _owner_so_far(rest, own_b, small, block_bits)
         rest = lookup_join(rest, slots.select(F.col("m").alias("owner"), "a_at"), "owner", waiting, min_hot_rows)
         owned = F.col("owner").isNotNull()
         full = owned & F.coalesce(F.col("a_at") < F.col("seq"), F.lit(False))
-        rest = materialize(rest.select("seq", "a", "b", "owner", owned.alias("owned"), full.alias("full")))
+        rest = keep(rest.select("seq", "a", "b", "owner", owned.alias("owned"), full.alias("full")))
         # First row per first key that may acquire it, and first row on it that founds a master with no second key.
-        at_a = rest.where("a is not null").groupBy("a").agg(
-            F.min(F.when(~F.col("full"), F.col("seq"))).alias("stop_a"),
-            F.min(F.when(F.col("b").isNull(), F.col("seq"))).alias("bare_a"))
-        with_a = lookup_join(rest, at_a, "a", waiting, min_hot_rows)
+        with_a = with_minimum(rest, "a", {"stop_a": F.when(~F.col("full"), F.col("seq")),
+                                          "bare_a": F.when(F.col("b").isNull(), F.col("seq"))}, waiting, min_hot_rows)
         risky = ~F.col("owned") | F.coalesce(F.col("bare_a") < F.col("seq"), F.lit(False))
         filling = F.col("owned") & ~F.col("full") & F.col("a").isNotNull()
-        at_b = with_a.where("b is not null").groupBy("b").agg(
-            F.min(F.when(risky, F.col("seq"))).alias("stop_b"), F.min(F.when(filling, F.col("seq"))).alias("fill_b"))
-        with_b = lookup_join(with_a, at_b, "b", waiting, min_hot_rows)
+        with_b = with_minimum(with_a, "b", {"stop_b": F.when(risky, F.col("seq")), "fill_b": F.when(filling, F.col("seq"))},
+                              waiting, min_hot_rows)
         no_later = lambda stop: F.col(stop).isNull() | (F.col("seq") <= F.col(stop))
         ready = no_later("stop_a") & no_later("stop_b") & (~filling | no_later("fill_b"))
         judged = materialize(with_b.select("seq", "a", "b", "owner", "owned", filling.alias("filling"), ready.alias("ready")))

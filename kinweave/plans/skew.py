@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 HOT_SHARE = 1000
 MIN_HOT_ROWS = 1_000_000
@@ -39,3 +40,21 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str | list[str], rows: i
     joined = flagged.join(lookup.withColumn("_salt", F.lit(0).cast("long")), [*key, "_salt"], "left")
     picked = [F.when(F.col("_hot"), F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in values]
     return joined.select(*big.columns, *picked)
+
+
+def with_minimum(df: DataFrame, key: str | list[str], minima: dict[str, Column], rows: int,
+                 min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Add the minimum of each expression over the row's key; rows with a NULL in the key get NULL.
+
+    When the whole table is smaller than a hot key, a window does it in one shuffle. Otherwise minima are combined map-side
+    and looked up without gathering a key's rows.
+    """
+    key = [key] if isinstance(key, str) else key
+    filled = F.col(key[0]).isNotNull()
+    for k in key[1:]:
+        filled = filled & F.col(k).isNotNull()
+    if rows <= min_hot_rows:
+        w = W.partitionBy(*key)
+        return df.withColumns({n: F.when(filled, F.min(e).over(w)) for n, e in minima.items()})
+    per_key = df.where(filled).groupBy(*key).agg(*[F.min(e).alias(n) for n, e in minima.items()])
+    return lookup_join(df, per_key, key, rows, min_hot_rows)
