@@ -51,7 +51,7 @@ def _(c):
 
 
 @register("synced_metadata", "O-Q5", """
-WITH cur AS (SELECT p_partkey AS id, p_name || p_brand || p_size AS code, p_type AS data_type FROM part WHERE p_partkey % 2 = 0),
+WITH cur AS (SELECT p_partkey AS id, p_name || p_brand || p_size AS code, p_type AS data_type FROM part WHERE p_size <= 25),
 c1 AS (SELECT min(id) AS id, code, min(data_type) AS data_type FROM cur GROUP BY code),
 i1 AS (SELECT min(p_partkey) AS id, p_name || p_brand || p_size AS code, max(p_type) AS data_type FROM part GROUP BY 2)
 SELECT coalesce(c1.id, i1.id) AS id, coalesce(c1.code, i1.code) AS code, coalesce(i1.data_type, c1.data_type) AS data_type
@@ -59,7 +59,7 @@ FROM c1 FULL OUTER JOIN i1 ON c1.code = i1.code""")
 def _(c):
     code = F.concat("p_name", "p_brand", "p_size").alias("code")
     part = c.table("part")
-    cur = part.where("p_partkey % 2 = 0").groupBy(code).agg(F.min("p_partkey").alias("id"), F.min("p_type").alias("data_type"))
+    cur = part.where("p_size <= 25").groupBy(code).agg(F.min("p_partkey").alias("id"), F.min("p_type").alias("data_type"))
     new = part.groupBy(code).agg(F.min("p_partkey").alias("id"), F.max("p_type").alias("data_type"))
     return quality.sync_metadata(cur, new, "code").select("id", "code", "data_type")
 

@@ -85,11 +85,12 @@ def purchase_stats(purchases: DataFrame, key: str = MASTER) -> DataFrame:
 def funnel(events: DataFrame, steps: list[str]) -> DataFrame:
     """Masters reaching each step after the one before it, and the conversion from the first step."""
     base = known(events).where(F.col("event_name").isin(*steps)).select(MASTER, "event_name", "created_at")
+    rows = events.count()
     reached = base.where(F.col("event_name") == steps[0]).groupBy(MASTER).agg(F.min("created_at").alias("t0"))
     table = reached
     for i, step in enumerate(steps[1:], 1):
-        nxt = base.where(F.col("event_name") == step).join(
-            table.select(MASTER, F.col(f"t{i-1}").alias("_prev")), MASTER).where(
+        before = table.select(MASTER, F.col(f"t{i-1}").alias("_prev"))
+        nxt = lookup_join(base.where(F.col("event_name") == step), before, MASTER, rows).where(
             F.col("created_at") >= F.col("_prev")).groupBy(MASTER).agg(F.min("created_at").alias(f"t{i}"))
         table = table.join(nxt, MASTER, "left")
     counts = table.agg(*[F.count(f"t{i}").alias(f"c{i}") for i in range(len(steps))])
@@ -119,7 +120,7 @@ def campaign_touches(events: DataFrame, bought: str = "purchase") -> DataFrame:
                        MASTER, "source_event_id")
     value = F.try_element_at(F.col("metadata"), F.lit("transaction_value")).try_cast("double")
     return (
-        buys.join(first, MASTER, "left").join(last.withColumnRenamed("value", "last_campaign"), "source_event_id", "left")
+        lookup_join(buys, first, MASTER, events.count()).join(last.withColumnRenamed("value", "last_campaign"), "source_event_id", "left")
         .select("source_event_id", MASTER, F.coalesce(value, F.lit(0.0)).alias("amount"),
                 F.when(F.col("f.at") <= F.col("at"), F.col("f.campaign")).alias("first_campaign"), "last_campaign")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kinweave.config import Rule
 from kinweave.functions.text import has_string_value
+from kinweave.plans.skew import lookup_join
 
 KEY = ["tenant_id", "rule_id", "value"]
 
@@ -103,7 +104,8 @@ def preferred_master(values: DataFrame, key: list[str] | None = None) -> DataFra
 
 def exact_match(raw_values: DataFrame, master_values: DataFrame) -> DataFrame:
     """Candidates by equality of an identifier inside the tenant (also array members and map entries, as rows)."""
-    return raw_values.join(preferred_master(master_values), KEY).select(
+    found = lookup_join(raw_values, preferred_master(master_values), KEY).where("master_profile_id is not null")
+    return found.select(
         "raw_profile_id", "tenant_id", "rule_id", "attribute", "created_at", "master_profile_id")
 
 

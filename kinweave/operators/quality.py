@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinweave.config import DELETE
 from kinweave.functions.text import mask_value
+from kinweave.plans.skew import lookup_join
 from kinweave.schema import RAW_LENGTHS
 
 # Allowed values of constrained columns.
@@ -74,10 +75,10 @@ def required_attribute_report(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def lineage(links: DataFrame, raw: DataFrame, masters: DataFrame) -> DataFrame:
     """Every raw row behind a master with source and rule: rows, so a large master needs no large array."""
+    raws = links.join(raw.select("raw_profile_id", "source_system", "web_visitor_id", "received_at"), "raw_profile_id")
     return (
-        links.join(raw.select("raw_profile_id", "source_system", "web_visitor_id", "received_at"), "raw_profile_id")
-        .join(masters.select("master_profile_id", "first_seen_raw_profile_id"), "master_profile_id")
-        .select("master_profile_id", "raw_profile_id", "source_system", "web_visitor_id", "received_at", "match_rule",
+        lookup_join(raws, masters.select("master_profile_id", "first_seen_raw_profile_id"), "master_profile_id", links.count())
+        .where("first_seen_raw_profile_id is not null").select("master_profile_id", "raw_profile_id", "source_system", "web_visitor_id", "received_at", "match_rule",
                 (F.col("raw_profile_id") == F.col("first_seen_raw_profile_id")).alias("is_founder"))
     )
 
@@ -88,9 +89,10 @@ def purge_deleted(raw: DataFrame, masters: DataFrame, links: DataFrame, events:
     kept_masters = masters.where(F.col("status_code") != DELETE)
     gone_raw = raw.where(F.col("status_code") == DELETE).select("raw_profile_id")
     gone_masters = masters.where(F.col("status_code") == DELETE).select("master_profile_id")
-    kept_links = links.join(gone_raw, "raw_profile_id", "left_anti").join(gone_masters, "master_profile_id", "left_anti")
     flag = gone_masters.withColumn("_gone", F.lit(True))
-    kept_events = events.join(flag, "master_profile_id", "left").withColumn(
+    kept_links = lookup_join(links.join(gone_raw, "raw_profile_id", "left_anti"), flag, "master_profile_id", links.count()).where(
+        F.col("_gone").isNull()).drop("_gone")
+    kept_events = lookup_join(events, flag, "master_profile_id").withColumn(
         "master_profile_id", F.when(F.col("_gone").isNull(), F.col("master_profile_id"))).drop("_gone")
     return kept_raw, kept_masters, kept_links, kept_events
 

@@ -10,6 +10,7 @@ from kinweave.functions.scores import haversine_km
 from kinweave.functions.text import has_string_value, normalize_text
 from kinweave.operators.behavior import top_per_group
 from kinweave.operators.jobs import _side_by_side
+from kinweave.plans.skew import lookup_join
 
 MASTER = "master_profile_id"
 
@@ -35,7 +36,7 @@ def masters_with_duplicates(links: DataFrame) -> DataFrame:
 
 def duplicate_raws(links: DataFrame, masters: DataFrame) -> DataFrame:
     """Links whose raw row did not found the master."""
-    return links.join(masters.select(MASTER, "first_seen_raw_profile_id"), MASTER).where(
+    return lookup_join(links, masters.select(MASTER, "first_seen_raw_profile_id"), MASTER).where(
         F.col("raw_profile_id") != F.col("first_seen_raw_profile_id")).select("raw_profile_id", MASTER)
 
 
@@ -49,7 +50,7 @@ def total_web_visitors(identifiers: DataFrame) -> DataFrame:
 
 def linked_masters_same_tenant(masters: DataFrame, links: DataFrame, raw: DataFrame) -> DataFrame:
     return (
-        masters.select(MASTER, "tenant_id").join(links.select(MASTER, "raw_profile_id"), MASTER)
+        lookup_join(links.select(MASTER, "raw_profile_id"), masters.select(MASTER, "tenant_id"), MASTER)
         .join(raw.select("raw_profile_id", F.col("tenant_id").alias("_t")), "raw_profile_id")
         .where(F.col("tenant_id") == F.col("_t")).agg(F.count_distinct(MASTER).alias("linked_masters"))
     )

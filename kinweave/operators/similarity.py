@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions.trigram import similarity, trigrams
 from kinweave.operators.matching import preferred_master
+from kinweave.plans.skew import lookup_join
 
 
 def _distinct_values(raw_values: DataFrame, master_values: DataFrame):
@@ -20,7 +21,8 @@ def _distinct_values(raw_values: DataFrame, master_values: DataFrame):
 
 def _back_to_raws(raw_values: DataFrame, best: DataFrame) -> DataFrame:
     """Attach the best master of each distinct value to all raw rows with that value."""
-    return raw_values.join(best.withColumnRenamed("a", "value"), ["tenant_id", "rule_id", "value"]).select(
+    found = lookup_join(raw_values, best.withColumnRenamed("a", "value"), ["tenant_id", "rule_id", "value"])
+    return found.where("master_profile_id is not null").select(
         "raw_profile_id", "tenant_id", "rule_id", "attribute", "created_at", "master_profile_id", "measure")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.config import LATEST_TOGETHER, MASTER_TO_NOTIFY, PREFER_MASTER, PREFER_RAW
+from kinweave.plans.skew import lookup_join
 
 MASTER = "master_profile_id"
 
@@ -71,9 +72,10 @@ def identifier_values(members: DataFrame, golden: DataFrame, key: str = MASTER)
     """(master, kind, value): visitor ids, and the emails and phones that differ from the primary one."""
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in (
         ("web_visitor", "web_visitor_id"), ("email", "email"), ("phone", "phone_number"))])
+    most = 3 * members.count()
     values = members.select(key, F.explode(kinds).alias("i")).select(key, "i.*").where("value <> ''").distinct()
     primary = golden.select(key, F.lower("email").alias("_e"), F.col("phone_number").alias("_p"))
-    joined = values.join(primary, key)
+    joined = lookup_join(values, primary, key, most)
     same = ((F.col("kind") == "email") & F.lower("value").eqNullSafe(F.col("_e"))) | (
         (F.col("kind") == "phone") & F.col("value").eqNullSafe(F.col("_p")))
     return joined.where(~same).select(

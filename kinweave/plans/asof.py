@@ -13,7 +13,7 @@ def micros(c):
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
-def last_before(points: DataFrame, marks: DataFrame, key: str, point_id: str, bucket_seconds: int = 3600) -> DataFrame:
+def last_before(points: DataFrame, marks: DataFrame, key: str, point_id: str, bucket_seconds: int = 60) -> DataFrame:
     """For each point the newest mark of its key at or before it.
 
     ``points``: key, ``point_id``, ``at`` (micros). ``marks``: key, ``at``, ``tie`` and ``value``; equal times are ordered

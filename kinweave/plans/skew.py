@@ -19,13 +19,14 @@ def hot_keys(df: DataFrame, key: list[str], rows: int, min_hot_rows: int = MIN_H
     return df.groupBy(*key).count().where(F.col("count") > limit).drop("count")
 
 
-def lookup_join(big: DataFrame, lookup: DataFrame, key: str | list[str], rows: int,
+def lookup_join(big: DataFrame, lookup: DataFrame, key: str | list[str], rows: int | None = None,
                 min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Left join to a table with at most one row per key.
 
     Rows of hot keys get their value from a broadcast of at most 1000 lookup rows and are spread by salt; all others
-    meet their lookup row in a plain shuffle join.
+    meet their lookup row in a plain shuffle join. ``rows`` is the size of the big side, counted when unknown.
     """
+    rows = big.count() if rows is None else rows
     key = [key] if isinstance(key, str) else key
     hot = hot_keys(big, key, rows, min_hot_rows)
     if hot is None:
