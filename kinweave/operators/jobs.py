@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,17 +79,15 @@ def diff_resolutions(a: DataFrame, b: DataFrame) -> DataFrame:
     same = pairs(cells, "ma is not null and mb is not null").withColumnRenamed("p", "together_both")
     only = cells.agg(F.coalesce(F.sum(F.when(F.col("mb").isNull(), F.col("n"))), F.lit(0)).alias("only_a"),
                      F.coalesce(F.sum(F.when(F.col("ma").isNull(), F.col("n"))), F.lit(0)).alias("only_b"))
-    one = _side_by_side([in_a, in_b, same, only])
+    one = side_by_side([in_a, in_b, same, only])
     return one.withColumn("split", F.col("together_a") - F.col("together_both")).withColumn(
         "merged", F.col("together_b") - F.col("together_both"))
 
 
-def _side_by_side(parts: list[DataFrame]) -> DataFrame:
-    """One row out of one-row tables."""
-    out = parts[0].withColumn("_one", F.lit(1))
-    for p in parts[1:]:
-        out = out.join(p.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+def side_by_side(parts: list[DataFrame]) -> DataFrame:
+    """One row out of one-row tables: stacked, then folded column by column, so no join is needed."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def match_quality(links: DataFrame, truth: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def match_quality(links: DataFrame, truth: DataFrame) -> DataFrame:
     total = lambda df, name: df.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias(name))
     found = total(cells.groupBy("master_profile_id").agg(F.sum("n").alias("n")), "matched_pairs")
     real = total(cells.groupBy("identity").agg(F.sum("n").alias("n")), "true_pairs")
-    out = _side_by_side([found, real, total(cells, "correct_pairs")])
+    out = side_by_side([found, real, total(cells, "correct_pairs")])
     return out.select(
         "matched_pairs", "true_pairs", "correct_pairs",
         (F.col("matched_pairs") - F.col("correct_pairs")).alias("false_merges"),

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from kinweave.functions.scores import haversine_km
 from kinweave.functions.text import has_string_value, normalize_text
 from kinweave.operators.behavior import top_per_group
-from kinweave.operators.jobs import _side_by_side
+from kinweave.operators.jobs import side_by_side
 from kinweave.plans.skew import lookup_join
 
 MASTER = "master_profile_id"
@@ -22,7 +22,7 @@ def summary_report(raw: DataFrame, masters: DataFrame, links: DataFrame) -> Data
     """
     unlinked = raw.join(links.select("raw_profile_id"), "raw_profile_id", "left_anti").agg(
         F.count("*").alias("unlinked_raw_profiles"))
-    return _side_by_side([
+    return side_by_side([
         masters.agg(F.count("*").alias("unique_master_profiles")),
         links.agg(F.count_distinct(MASTER).alias("unique_master_links"),
                   F.count_distinct("raw_profile_id").alias("unique_raw_links")),
