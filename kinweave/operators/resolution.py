@@ -136,6 +136,21 @@ def resolve_sequential(raw: DataFrame, masters: DataFrame | None = None, as_of:
     return Resolution(members, links)
 
 
+def merge_updated(raw: DataFrame, links: DataFrame, masters: DataFrame, as_of: str) -> DataFrame:
+    """Golden records of masters whose linked staging rows became pending again: new traits are merged in.
+
+    An ordinary run leaves such rows alone, as it only takes rows without a link.
+    """
+    again = raw.where(F.col("status_code") == RAW_PENDING).join(
+        links.select("raw_profile_id", "master_profile_id"), "raw_profile_id")
+    touched = masters.join(again.select("master_profile_id").distinct(), "master_profile_id", "left_semi")
+    numbered = number_rows(again, touched)
+    owners = again.select("raw_profile_id", "master_profile_id")
+    rows = numbered.where("not is_prior").join(owners, "raw_profile_id").unionByName(
+        numbered.where("is_prior").withColumn("master_profile_id", F.col("prior_id")))
+    return survivorship.golden_records(rows, as_of)
+
+
 def golden_tables(res: Resolution, as_of: str) -> tuple[DataFrame, DataFrame]:
     """Masters with their maps, and their identifier rows."""
     golden = survivorship.golden_records(res.members, as_of)

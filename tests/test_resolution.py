@@ -86,6 +86,17 @@ def test_merge_into_existing_master(spark, mode):
     assert set(row.source_systems) >= {"Web"}
 
 
+def test_returning_visitor_updates_the_linked_master(spark):
+    rows = raws(spark, {"email": "a@x", "city": "Hue"}, {"email": "b@x", "city": "Vinh"})
+    res = resolution.resolve_transitive(rows, as_of="2025-05-01 00:00:00")
+    golden, _ = resolution.golden_tables(res, "2025-05-01 00:00:00")
+    changed = raws(spark, {"email": "a@x", "city": "Da Nang"}, {"email": "b@x", "status_code": 3})
+    assert resolution.pending_raw(changed, res.links).count() == 0
+    out = resolution.merge_updated(changed, res.links, golden, AS_OF).collect()
+    assert [(r.email, r.city, str(r.created_at), str(r.updated_at)) for r in out] == [
+        ("a@x", "Da Nang", "2025-05-01 00:00:00", AS_OF)]
+
+
 def test_crm_map_joins_rows(spark):
     res = resolution.resolve_transitive(raws(
         spark, {"source_system": "CRM", "crm_source_id": "7"}, {"source_system": "CRM", "crm_source_id": "7"},
