@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kinweave.catalog.registry import register
-from kinweave.catalog.sql import sql, ts, us, uuid5
+from kinweave.catalog.sql import sql, us, uuid5
 from kinweave.functions import collections as C
 from kinweave.functions import ids, text
 from kinweave.operators import ingest, quality, vectors

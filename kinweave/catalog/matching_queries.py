@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kinweave.catalog.context import CRM, EMAIL, LAST_NAME, PHONE, RULES
+from kinweave.catalog.context import CRM, EMAIL, PHONE, RULES
 from kinweave.catalog.registry import register
 from kinweave.catalog.sql import sql, ts
 from kinweave.config import Rule

@@ -8,7 +8,6 @@ from kinweave.catalog.registry import register
 from kinweave.catalog.sql import sql, ts
 from kinweave.functions import collections as C
 from kinweave.operators import jobs, quality, reports
-from kinweave.plans.tables import AS_OF
 
 MASTER = "master_profile_id"
 SECOND = "yyyy-MM-dd HH:mm:ss"
