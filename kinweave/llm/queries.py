@@ -5,19 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kinweave.llm import language_id
 from kinweave.llm.exact_dedup import exact_dedup
 from kinweave.llm.mixing import mix_sources
+from kinweave.llm.text import crc_remainder
+from kinweave.llm.token_output import round_trip
 from kinweave.llm.url_filter import filter_urls
 
 #: Fixed values of the url query: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
+#: Fixed values of the token query: tokenizer file, number of ids, id that ends a document.
+TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 2
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rest = crc_remainder(F.col("doc_id"), 5)
+    model = language_id.fit(docs, rest != 0)
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), VOCABULARY, END_ID)
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -31,6 +52,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
+    "op5_token_output": op5_token_output,
     "op7_url_filters": op7_url_filters,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
