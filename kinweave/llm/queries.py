@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kinweave.llm import language_id
 from kinweave.llm.exact_dedup import exact_dedup
 from kinweave.llm.mixing import mix_sources
+from kinweave.llm.substring_dedup import find_repeats
 from kinweave.llm.text import crc_remainder
 from kinweave.llm.token_output import round_trip
 from kinweave.llm.url_filter import filter_urls
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rest = crc_remainder(F.col("doc_id"), 5)
@@ -52,6 +58,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
     "op5_token_output": op5_token_output,
     "op7_url_filters": op7_url_filters,
