@@ -34,8 +34,8 @@ def shard_count(n_bytes: int) -> int:
     return max(8, -(-n_bytes // SHARD_BYTES))
 
 
-def pack(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(block, payload): all columns of ``docs`` in compressed Arrow streams, dealt by block.
+def pack(docs: DataFrame, text: str = "text", exchange: bool = True) -> DataFrame:
+    """(block, payload): all columns of ``docs`` in compressed Arrow streams, dealt by block if ``exchange``.
 
     Read ``docs`` from stored files, so that a lost task packs the same rows again.
     """
@@ -64,7 +64,7 @@ def pack(docs: DataFrame, text: str = "text") -> DataFrame:
             yield close()
 
     packed = docs.mapInArrow(run, "block long, payload binary")
-    return packed.repartition("block")
+    return packed.repartition("block") if exchange else packed
 
 
 def unpack(payload: bytes) -> pa.Table:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinweave.llm import language_id
 from kinweave.llm.exact_dedup import exact_dedup
+from kinweave.llm.lm_scoring import score_documents
 from kinweave.llm.mixing import mix_sources
 from kinweave.llm.substring_dedup import find_repeats
 from kinweave.llm.text import crc_remainder
@@ -57,6 +58,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = crc_remainder(F.col("doc_id"), 7)
+    scores = score_documents(table(spark, sf_dir, "documents"), rest != 2)
+    return scores.withColumn("held_out", F.coalesce(rest == 2, F.lit(False))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -64,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_filters": op7_url_filters,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {
