@@ -34,6 +34,18 @@ def shard_count(n_bytes: int) -> int:
     return max(8, -(-n_bytes // SHARD_BYTES))
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``most`` bytes of text each; a longer text is a part of its own."""
+    start, held = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+        if held and held + n > most:
+            yield batch.slice(start, k - start)
+            start, held = k, 0
+        held += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def pack(docs: DataFrame, text: str = "text", exchange: bool = True) -> DataFrame:
     """(block, payload): all columns of ``docs`` in compressed Arrow streams, dealt by block if ``exchange``.
 

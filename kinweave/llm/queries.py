@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kinweave.llm import language_id
 from kinweave.llm.exact_dedup import exact_dedup
 from kinweave.llm.lm_scoring import score_documents
+from kinweave.llm.minhash_dedup import near_duplicates
 from kinweave.llm.mixing import mix_sources
 from kinweave.llm.substring_dedup import find_repeats
 from kinweave.llm.text import crc_remainder
@@ -40,6 +41,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(rest == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -68,6 +73,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op5_token_output": op5_token_output,
     "op7_url_filters": op7_url_filters,
     "op8_exact_dedup": op8_exact_dedup,

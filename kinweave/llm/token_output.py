@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.llm.blocks import slices
 from kinweave.llm.rans import Coder, quantize
 from kinweave.llm.vocabulary import encoder
 from kinweave.plans.storage import working_dir
@@ -25,19 +26,6 @@ BLOCK_IDS = 1 << 20
 TEXTS_AT_ONCE = 4_000_000
 
 
-def _slices(batch: pa.RecordBatch, column: str, most: int):
-    """Parts of a batch with about ``most`` bytes of text each; a longer text is a part of its own."""
-    sizes = np.fromiter((len(s.as_buffer() or b"") if s.is_valid else 0 for s in batch.column(column)), np.int64, batch.num_rows)
-    start, held = 0, 0
-    for k, n in enumerate(sizes):
-        if held and held + n > most:
-            yield batch.slice(start, k - start)
-            start, held = k, 0
-        held += n
-    if start < batch.num_rows:
-        yield batch.slice(start)
-
-
 def encode_texts(docs: DataFrame, path: str, vocabulary: int, end_id: int | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, part, before, n_tokens, ids) in ascending doc_id order: partition by partition, NULL ids first.
 
@@ -49,7 +37,7 @@ def encode_texts(docs: DataFrame, path: str, vocabulary: int, end_id: int | None
     def run(batches):
         part, before, tool = TaskContext.get().partitionId(), 0, encoder(path)
         for batch in batches:
-            for piece in _slices(batch, "text", TEXTS_AT_ONCE):
+            for piece in slices(batch, "text", TEXTS_AT_ONCE):
                 ids, counts = tool.encode(piece.column("text").to_pylist())
                 ids, stops = ids.astype(width), np.cumsum(counts)
                 end = b"" if end_id is None else np.array([end_id], width).tobytes()
