@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kinweave.llm import language_id
 from kinweave.llm.exact_dedup import exact_dedup
+from kinweave.llm.fingerprints import fingerprint_edits
 from kinweave.llm.lm_scoring import score_documents
 from kinweave.llm.minhash_dedup import near_duplicates
 from kinweave.llm.mixing import mix_sources
@@ -51,6 +52,10 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), VOCABULARY, END_ID)
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op5_token_output": op5_token_output,
+    "op6_fingerprints": op6_fingerprints,
     "op7_url_filters": op7_url_filters,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_mixing": op9_mixing,
