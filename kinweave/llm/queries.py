@@ -13,6 +13,8 @@ from kinweave.llm.fingerprints import fingerprint_edits
 from kinweave.llm.lm_scoring import score_documents
 from kinweave.llm.minhash_dedup import near_duplicates
 from kinweave.llm.mixing import mix_sources
+from kinweave.llm.sentencepiece_lattice import load_pieces
+from kinweave.llm.sentencepiece_lattice import round_trip as piece_round_trip
 from kinweave.llm.substring_dedup import find_repeats
 from kinweave.llm.text import crc_remainder
 from kinweave.llm.token_output import round_trip
@@ -21,7 +23,8 @@ from kinweave.llm.url_filter import filter_urls
 #: Fixed values of the url query: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-#: Fixed values of the token query: tokenizer file, number of ids, id that ends a document.
+#: Fixed values of the token queries: piece file; tokenizer file, number of ids, id that ends a document.
+PIECES = "piece_bpe_32k.model"
 TOKENIZER, VOCABULARY, END_ID = "word_bpe_49k.json", 49_408, 2
 
 
@@ -46,6 +49,12 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_round_trip(table(spark, sf_dir, "documents"), load_pieces(public_tokenizers.path(PIECES)))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_token_output": op5_token_output,
     "op6_fingerprints": op6_fingerprints,
     "op7_url_filters": op7_url_filters,
