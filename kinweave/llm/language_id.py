@@ -145,8 +145,12 @@ def fit(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "tex
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(label).alias("label"), F.xxhash64(doc_id).alias("h"))
     df = document_frequencies(rows)
     place = F.row_number().over(W.partitionBy("label").orderBy("h", "doc_id"))
-    chosen = rows.where("text is not null").select("doc_id", "label", "h").withColumn("place", place).where(
-        F.col("place") <= SAMPLE).orderBy("place", "h", "label").limit(SAMPLE)
+    # A hash threshold per label leaves about twice SAMPLE rows of it before they are ranked, however frequent it is.
+    ids = rows.where("text is not null").select("doc_id", "label", "h")
+    sizes = ids.groupBy("label").agg(F.count("*").alias("n"))
+    share = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    few = ids.join(sizes, "label").where(share * F.col("n") <= 2 * SAMPLE)
+    chosen = few.withColumn("place", place).where(F.col("place") <= SAMPLE).orderBy("place", "h", "label").limit(SAMPLE)
 
     def sparse(batches):
         for batch in batches:

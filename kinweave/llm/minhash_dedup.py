@@ -22,6 +22,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from kinweave.llm import blocks as B
 from kinweave.operators.components import connected_components
@@ -186,15 +187,8 @@ def _packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return packed.join(nodes, ["doc_id", "text_key"]).select("node", "packed")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per input row.
-
-    A set holds the distinct runs of five words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased), or the whole sequence of a shorter
-    text; NULL texts and texts without words have an empty set and no links. Documents are linked when
-    ``100 * intersection >= 85 * union``; ``component_id`` is the smallest doc_id reachable and ``kept`` says whether it is the row's own.
-    Ids are integers. Rows that share an id and a text are equal in all columns; rows that share an id with other texts are judged
-    one by one. A row without an id takes part in no link and is kept. Other columns are ignored.
-    """
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_key, n, root), stored: the component of every row, NULL for rows that take part in no link."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = materialize(sketches(rows))
     whose = sets.where("node is not null and doc_id is not null")
@@ -216,11 +210,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         edges = found.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         links = materialize(edges if links is None else edges.unionByName(links))
         roots = connected_components(links)
-    named = sets.select("doc_id", "n", "node").join(roots, "node", "left").withColumn(
+    named = sets.select("doc_id", "text_key", "n", "node").join(roots, "node", "left").withColumn(
         "root", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node")))
-    named = materialize(named.select("doc_id", "n", "root"))
+    return materialize(named.select("doc_id", "text_key", "n", "root"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per input row.
+
+    A set holds the distinct runs of five words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased), or the whole sequence of a shorter
+    text; NULL texts and texts without words have an empty set and no links. Documents are linked when
+    ``100 * intersection >= 85 * union``; ``component_id`` is the smallest doc_id reachable and ``kept`` says whether it is the row's own.
+    Ids are integers. Rows that share an id and a text are equal in all columns; rows that share an id with other texts are judged
+    one by one. A row without an id takes part in no link and is kept. Other columns are ignored.
+    """
+    named = components(docs, doc_id, text)
     least = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     component = F.coalesce("least", "doc_id")
     return named.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, columns unchanged: the smallest id, then the smallest hash of the text.
+
+    Rows without words or id are no duplicates of anything and stay, but rows that repeat both id and text stay once.
+    """
+    named = components(docs, doc_id, text)
+    first = named.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("f")).select("f.*")
+    stay = first.unionByName(named.where("root is null").select("doc_id", "text_key").distinct()).select(
+        F.struct(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).alias("_stay"))
+    keyed = docs.withColumns({"_id": F.col(doc_id).cast("long"), "_key": F.xxhash64(F.col(text))})
+    joined = keyed.join(stay, F.col("_id").eqNullSafe(F.col("_stay.id")) & (F.col("_key") == F.col("_stay.key")))
+    place = F.row_number().over(W.partitionBy("_stay").orderBy("_key"))
+    return joined.withColumn("_place", place).where("_place = 1").select(*docs.columns)

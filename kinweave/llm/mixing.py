@@ -89,26 +89,46 @@ def _next_cut(rows: DataFrame, state: DataFrame) -> DataFrame:
     return materialize(rest.withColumn("left", F.col("left") - F.coalesce("got", F.lit(0))).drop("s", "got", "prefix", "room", "open"))
 
 
+def mix_state(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+              weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """(s, source_size, target, copies, cuts): one row per source with its whole repetitions and the cuts that fill the rest."""
+    rows = materialize(docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"), _hash(F.col(doc_id)).alias("h")))
+    targets = source_targets(rows, weights, cap)
+    copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    state = materialize(targets.withColumn("copies", copies).withColumn(
+        "left", F.col("target") - F.col("copies") * F.col("source_size")).withColumn("cuts", F.array().cast(CUTS)))
+    filled = rows.where("size > 0")
+    for _ in range(BUDGETS):
+        state = _next_cut(filled, state)
+    return state.select(F.col("source").alias("s"), "source_size", "target", "copies", "cuts")
+
+
+def _hash(doc_id: F.Column) -> F.Column:
+    return F.shiftrightunsigned(F.xxhash64(doc_id), 64 - BITS * LEVELS)
+
+
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
                 weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies), one row per document.
 
     ``size`` counts words (NULL text: 0), ``taken`` is ``size * copies`` and ``copies`` is at most ``cap``. The choice is a
-    function of ids and sizes alone, so reruns agree. Rows with one id share a hash and are taken or left together; NULL is
+    function of ids and sizes alone, so reruns agree. Rows with one id share a hash; equal sizes are then taken or left together. NULL is
     a source and an id like any other. Documents without words have ``copies`` of their source's whole repetitions.
     """
-    rows = materialize(docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
-        F.shiftrightunsigned(F.xxhash64(F.col(doc_id)), 64 - BITS * LEVELS).alias("h")))
-    targets = source_targets(rows, weights, cap)
-    copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    state = targets.withColumn("copies", copies).withColumn(
-        "left", F.col("target") - F.col("copies") * F.col("source_size")).withColumn("cuts", F.array().cast(CUTS))
-    state = materialize(state)
-    filled = rows.where("size > 0")
-    for _ in range(BUDGETS):
-        state = _next_cut(filled, state)
-    per_source = state.select(F.col("source").alias("s"), "source_size", "target", "copies", "cuts")
-    joined = rows.join(per_source, F.col("source").eqNullSafe(F.col("s")))
+    state = mix_state(docs, doc_id, source, text, weights, cap)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"),
+                       _hash(F.col(doc_id)).alias("h"))
+    joined = rows.join(state, F.col("source").eqNullSafe(F.col("s")))
     total = F.col("copies") + (_taken() & (F.col("size") > 0)).cast("long")
     return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * total).alias("taken"), total.alias("copies"))
+
+
+def mixed(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+          weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+    """The input's rows, each as often as the mix takes it; documents without words are left out. Columns are unchanged."""
+    state = mix_state(docs, doc_id, source, text, weights, cap).select(F.struct("*").alias("_mix"))
+    joined = docs.join(state, F.col(f"`{source}`").eqNullSafe(F.col("_mix.s")))
+    chosen = F.exists("_mix.cuts", lambda c: (F.col("_size") <= c["limit"]) & (_hash(F.col(doc_id)) < c["below"]))
+    counted = joined.withColumn("_size", word_count(F.col(text))).where("_size > 0").withColumn(
+        "_copies", F.col("_mix.copies") + chosen.cast("long")).where("_copies > 0")
+    return counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
