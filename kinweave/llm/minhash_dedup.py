@@ -6,8 +6,9 @@
    values, so each node enters only the lists of its rarest ones (prefix filter over the exact frequency order): a passage
    that many documents share makes no long list, and no value is ignored.
 3. A list is worked off without pairing all its members: every member meets one hub; then lists that still hold several
-   components try another hub; what is left are members of different components, compared in full. A union sketch
-   estimates each pair first, sets of at most ``K`` shingles are decided by it, and exact Jaccard on the full sets confirms.
+   components try another hub. Nodes of lists that are left with several components are joined on their full sets, with exact
+   prefix and position filters. A union sketch estimates each pair first, sets of at most ``K`` shingles are decided by it,
+   and exact Jaccard on the full sets confirms.
    Links inside a component are not looked for, since they cannot change it.
 
 The overlap bound holds for certain for sets up to ``K / 0.37`` shingles or so; beyond that it fails for a pair at the threshold with
@@ -123,13 +124,39 @@ def _hub_pairs(lists: DataFrame, order) -> DataFrame:
     return met.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _other_pairs(lists: DataFrame) -> DataFrame:
-    """Pairs of a list's members that are still in different components, smaller node first."""
-    left = lists.select("value", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = lists.select("value", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+def _other_pairs(lists: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of nodes in different components that may still be linked, smaller node first.
+
+    Only nodes of lists with several components take part. They are joined once more on their full sets, where the prefix and
+    position filters are exact: what a node holds alone counts against it, and with it the sizes it can be linked with.
+    """
     several = lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("value")
-    met = left.join(several, "value").join(right, "value")
-    return met.where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _fits(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    open_nodes = lists.join(several, "value").select("node", "n", "root").distinct()
+
+    def explode(batches):
+        zip_ = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for piece in B.slices(batch, "packed", BYTES_AT_ONCE // 4):
+                h, d = shingle_sets([zip_.decompress(t).decode() for t in piece.column("packed").to_pylist()])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))] + [
+                    pa.array(piece.column(c).to_numpy()[d]) for c in ("node", "n", "root")], names=["value", "node", "n", "root"])
+
+    values = texts.join(open_nodes, "node").select("packed", "node", "n", "root").mapInArrow(
+        explode, "value long, node long, n long, root long")
+    shared = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
+    alone = F.col("n") - F.size("found")
+    take = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - alone
+    full = values.join(shared, "value").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("found"))
+    prefix = full.where(take > 0).select("node", "n", "root", alone.alias("alone"), F.posexplode(F.slice("found", F.lit(1), take.cast("int"))).alias("k", "f"))
+    # At most n - alone - k values are common, so the other set has at most this many.
+    most = F.floor((F.col("n") - F.col("alone") - F.col("k")) * (100 + PERCENT) / PERCENT) - F.col("n")
+    short = prefix.select(F.col("f.value").alias("value"), "node", "n", "root", most.alias("most"))
+    useful = short.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).where("lo < hi")
+    lists = materialize(short.join(useful.select("value", "least"), "value").where("most >= least").drop("least"))
+    left = lists.select("value", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "root", "most")])
+    right = lists.select("value", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root", "most")])
+    met = left.join(right, "value").where("node_a < node_b and root_a != root_b and n_a <= most_b and n_b <= most_a")
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -204,7 +231,7 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         with_root = lists.withColumn("root", F.col("node")) if roots is None else lists.join(
             roots.withColumnRenamed("root", "r"), "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
         order = F.col("node") if turn == 0 else F.xxhash64("node", "value")
-        pairs = _hub_pairs(with_root, order) if turn < 2 else _other_pairs(with_root)
+        pairs = _hub_pairs(with_root, order) if turn < 2 else _other_pairs(with_root, texts)
         estimated = materialize(_estimated(pairs, nodes))
         found = estimated.where("sure").select("a", "b").unionByName(_confirmed(estimated.where("not sure"), texts))
         edges = found.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
