@@ -65,6 +65,38 @@ def _prior_full(c):
     return c.keep("prior_arrays", lambda: survivorship.with_identifier_arrays(c.prior_masters(), _prior_identifiers(c)))
 
 
+def _incremental(c):
+    """Golden tables after a run over the late rows on top of the early masters."""
+    _, late = c.early_late()
+    res = c.keep("incremental", lambda: resolution.resolve_transitive(late, _prior_full(c), RULES, AS_OF))
+    return c.keep("incremental_golden", lambda: resolution.golden_tables(res, AS_OF)[0]), c.keep(
+        "incremental_values", lambda: resolution.golden_tables(res, AS_OF)[1])
+
+
+@register("incremental_golden_records", "O-I19 O-M1 O-M2 O-M6", sql("""
+SELECT g.mid AS master_profile_id, g.tenant_id, g.email, g.phone_number, g.last_name, g.city, s.source_systems FROM mast g JOIN (
+  SELECT mid, array_to_string(list_sort(list(DISTINCT source_system)), ',') AS source_systems FROM mem GROUP BY 1) s USING (mid)"""))
+def _(c):
+    return _incremental(c)[0].select("master_profile_id", "tenant_id", "email", "phone_number", "last_name", "city",
+                                     F.array_join("source_systems", ",").alias("source_systems"))
+
+
+@register("incremental_identifiers", "O-I19 O-M3 O-M6", sql("""
+SELECT DISTINCT mid AS master_profile_id, 'web_visitor' AS kind, visid AS value FROM mem
+UNION SELECT m.mid, 'secondary_email', m.email FROM mem m JOIN mast g USING (mid) WHERE m.email <> '' AND lower(m.email) <> lower(g.email)
+UNION SELECT m.mid, 'secondary_phone', m.phone_number FROM mem m JOIN mast g USING (mid) WHERE m.phone_number <> ''
+  AND m.phone_number <> g.phone_number"""))
+def _(c):
+    return _incremental(c)[1].select("master_profile_id", "kind", "value")
+
+
+@register("incremental_id_maps", "O-I19 O-M7", sql("""
+SELECT mid AS master_profile_id, source_system, arg_max(crm_source_id, seq) AS crm_id FROM mem WHERE crm_source_id IS NOT NULL
+GROUP BY 1, 2"""))
+def _(c):
+    return _incremental(c)[0].select("master_profile_id", F.explode("crm_contact_ids").alias("source_system", "crm_id"))
+
+
 @register("ordered_incremental", "O-I14 O-I19 O-I22")
 def _(c):
     _, late = c.early_late()

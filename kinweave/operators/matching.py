@@ -15,6 +15,10 @@ from kinweave.config import Rule
 from kinweave.functions.text import has_string_value
 from kinweave.plans.skew import lookup_join
 
+# Kinds of matching rules in the metadata.
+PHONETIC_KIND, TRIGRAM_KIND = "fuzzy_dmetaphone", "fuzzy_trgm"
+EQUALITY_KINDS = ("exact", PHONETIC_KIND)
+
 KEY = ["tenant_id", "rule_id", "value"]
 
 
@@ -38,7 +42,19 @@ def active_rule_rows(metadata: DataFrame) -> DataFrame:
         "is_identity_resolution and status = 'ACTIVE' and matching_rule is not null and matching_rule <> 'none'")
 
 
+def by_kind(rules) -> tuple[list[Rule], list[Rule]]:
+    """(rules decided by equality, trigram rules); phonetic rules compare codes, so they are decided by equality.
+
+    A fuzzy rule without a threshold and a rule of an unknown kind take no part.
+    """
+    equal = [r for r in rules if r.matching_rule in EQUALITY_KINDS]
+    fuzzy = [r for r in rules if r.matching_rule == TRIGRAM_KIND and r.threshold is not None]
+    return equal, fuzzy
+
+
 def _normal(value: Column, rule: Rule) -> Column:
+    if rule.matching_rule == PHONETIC_KIND:
+        return F.soundex(value)
     return F.lower(value) if rule.ignore_case else value
 
 
@@ -58,7 +74,7 @@ def raw_rule_values(raw: DataFrame, rules, id_cols=("raw_profile_id",)) -> DataF
     """Unpivot: one row per raw row and rule with a non-blank value, in one pass over the input."""
     items = F.array(*[
         F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.attribute).alias("attribute"), _raw_value(raw, r).alias("value"))
-        for r in rules])
+        for r in rules]).cast("array<struct<rule_id:int,attribute:string,value:string>>")
     return (
         raw.select(*id_cols, "tenant_id", F.explode(items).alias("i"))
         .select(*id_cols, "tenant_id", "i.*").where("value <> ''")
@@ -88,8 +104,9 @@ def master_rule_values(masters: DataFrame, rules, secondary: bool = True,
         if arrays:
             parts.append(F.struct(F.lit(r.id).alias("rule_id"), F.lit(r.attribute).alias("attribute"),
                                   F.flatten(F.array_compact(F.array(*arrays))).alias("values")))
+    parts = F.array(*parts).cast("array<struct<rule_id:int,attribute:string,values:array<string>>>")
     return (
-        masters.select(*id_cols, "tenant_id", F.explode(F.array(*parts)).alias("i"))
+        masters.select(*id_cols, "tenant_id", F.explode(parts).alias("i"))
         .select(*id_cols, "tenant_id", "i.rule_id", "i.attribute", F.explode("i.values").alias("value"))
         .where("value <> ''").distinct()
     )

@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinweave.config import DEFAULT_RULES, LATEST_TOGETHER, PREFER_RAW, RAW_PENDING, RAW_PROCESSED
+from kinweave.config import DEFAULT_RULES, LATEST_TOGETHER, PREFER_RAW, RAW_PENDING, RAW_PROCESSED, Rule
 from kinweave.functions.ids import link_id, uuid5_dns
 from kinweave.operators import survivorship
 from kinweave.operators.components import connected_components, hub_edges
-from kinweave.operators.matching import master_rule_values, raw_rule_values
+from kinweave.operators.matching import by_kind, master_rule_values, raw_rule_values
 from kinweave.operators.sequential import resolve_in_order
+from kinweave.operators.similarity import fuzzy_edges
 from kinweave.plans.ordering import add_sequence
 from kinweave.plans.skew import MIN_HOT_ROWS, lookup_join
 from kinweave.plans.storage import materialize
@@ -31,6 +32,28 @@ _CARRIED = ("email", "phone_number", "source_system", "web_visitor_id", "crm_sou
             *PREFER_RAW, "preferred_communication", "last_seen_at", *LATEST_TOGETHER, "ext_attributes")
 
 
+# What a prior master has gathered beyond its scalar columns: column here, type.
+_GATHERED = {"prior_source_systems": "array<string>", "prior_crm_contact_ids": "map<string,string>",
+             "prior_social_user_ids": "map<string,string>", "prior_values": "array<struct<kind:string,value:string>>"}
+_GATHERED_VALUES = (("web_visitor", "web_visitor_ids"), ("email", "secondary_emails"), ("phone", "secondary_phone_numbers"))
+
+
+def _tagged(kind: str):
+    return lambda value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+
+
+def _gathered(masters: DataFrame) -> list:
+    """The sets and maps of prior masters, NULL where the table lacks them."""
+    out = []
+    for name, kind in _GATHERED.items():
+        own = name.removeprefix("prior_")
+        out.append((F.col(own) if own in masters.columns else F.lit(None)).cast(kind).alias(name))
+    arrays = [F.transform(F.coalesce(c, F.array().cast("array<string>")), _tagged(kind))
+              for kind, c in _GATHERED_VALUES if c in masters.columns]
+    out[-1] = (F.concat(*arrays) if arrays else F.lit(None)).cast(_GATHERED["prior_values"]).alias("prior_values")
+    return out
+
+
 def pending_raw(raw: DataFrame, links: DataFrame | None = None, from_ts: str | None = None, to_ts: str | None = None,
                 limit: int | None = None) -> DataFrame:
     """Pending rows without a link, received within the inclusive bounds; a limit keeps the oldest."""
@@ -63,7 +86,8 @@ def number_rows(raw: DataFrame, masters: DataFrame | None = None) -> DataFrame:
     null = lambda t: F.lit(None).cast(t)
     rows = raw.select("raw_profile_id", null("string").alias("prior_id"), null("timestamp_ntz").alias("prior_created_at"),
                       F.lit(False).alias("is_prior"), F.col("received_at").alias("_t"),
-                      F.col("raw_profile_id").alias("_id"), "tenant_id", *_CARRIED)
+                      F.col("raw_profile_id").alias("_id"), "tenant_id", *_CARRIED,
+                      *[null(kind).alias(name) for name, kind in _GATHERED.items()])
     if masters is not None:
         types = dict(raw.dtypes)
         carried = [F.col(c).cast(types[c]) if c in masters.columns else null(types[c]) for c in _CARRIED]
@@ -72,7 +96,7 @@ def number_rows(raw: DataFrame, masters: DataFrame | None = None) -> DataFrame:
             first.alias("raw_profile_id"), F.col("master_profile_id").alias("prior_id"),
             F.col("created_at").alias("prior_created_at"), F.lit(True).alias("is_prior"), F.col("created_at").alias("_t"),
             F.col("master_profile_id").alias("_id"), "tenant_id",
-            *[c.alias(n) for c, n in zip(carried, _CARRIED)]).unionByName(rows)
+            *[c.alias(n) for c, n in zip(carried, _CARRIED)], *_gathered(masters)).unionByName(rows)
     ordered = rows.withColumn("_late", F.when(F.col("is_prior"), 0).otherwise(1))
     return add_sequence(ordered, ["_late", "_t", "_id"]).drop("_late", "_id").withColumnRenamed("_t", "arrived_at")
 
@@ -95,8 +119,12 @@ def resolve_transitive(raw: DataFrame, masters: DataFrame | None = None, rules=D
                        min_hot_rows: int = MIN_HOT_ROWS) -> Resolution:
     """Batch mode: rows and prior masters connected through shared identifiers form one master, the oldest one.
 
-    Further prior masters of a component are reported as aliases of the surviving master.
+    Each rule is followed by its kind: equal identifiers, equal phonetic codes, or texts whose trigrams are similar enough, be they
+    on a prior master or on another row of the batch. Further prior masters of a component are reported as aliases of the
+    surviving master.
     """
+    equal, fuzzy = by_kind(rules)
+    rules = [*equal, *fuzzy]
     numbered = number_rows(raw, masters)
     rows = numbered.count()
     values = raw_rule_values(numbered.where("not is_prior"), rules, ("seq",))
@@ -107,7 +135,11 @@ def resolve_transitive(raw: DataFrame, masters: DataFrame | None = None, rules=D
         values = values.unionByName(prior.join(seqs, "master_profile_id").drop("master_profile_id"))
         values = materialize(values)
         most = values.count()
-    edges = materialize(hub_edges(values, ["tenant_id", "rule_id", "value"], "seq", min_hot_rows, most))
+    edges = hub_edges(values, ["tenant_id", "rule_id", "value"], "seq", min_hot_rows, most)
+    if fuzzy:
+        names = ["u", "v", "rule_id", "attribute"]
+        edges = edges.select(*names).unionByName(fuzzy_edges(values.where(F.col("rule_id").isin([r.id for r in fuzzy])), fuzzy).select(*names))
+    edges = materialize(edges)
     roots = connected_components(edges, min_hot_rows=min_hot_rows)
     how = edges.groupBy("u").agg(F.min(F.struct("rule_id", "attribute")).alias("h"))
     groups = (
@@ -125,7 +157,15 @@ def resolve_transitive(raw: DataFrame, masters: DataFrame | None = None, rules=D
 
 def resolve_sequential(raw: DataFrame, masters: DataFrame | None = None, as_of: str = "1970-01-01",
                        rules=("email", "phone_number"), min_hot_rows: int = MIN_HOT_ROWS, **options) -> Resolution:
-    """Order-faithful mode on the two primary contact columns: same result as one row after the other."""
+    """Order-faithful mode on the two primary contact columns: same result as one row after the other.
+
+    ``rules``: the two columns in order of priority, as names or as exact rules; others cannot be followed in order and raise.
+    """
+    if any(isinstance(r, Rule) and r.matching_rule != "exact" for r in rules):
+        raise ValueError("ordered mode follows exact rules only")
+    rules = [r.attribute if isinstance(r, Rule) else r for r in rules]
+    if sorted(rules) != ["email", "phone_number"]:
+        raise ValueError("ordered mode takes the email and the phone_number rule")
     numbered = number_rows(raw, masters)
     key = lambda c: F.lower(c) if c == "email" else F.col(c)
     nodes = numbered.select("seq", "tenant_id", "is_prior", key(rules[0]).alias(rules[0] + "_key"),
@@ -148,11 +188,11 @@ def merge_updated(raw: DataFrame, links: DataFrame, masters: DataFrame, as_of: s
     owners = again.select("raw_profile_id", "master_profile_id")
     rows = numbered.where("not is_prior").join(owners, "raw_profile_id").unionByName(
         numbered.where("is_prior").withColumn("master_profile_id", F.col("prior_id")))
-    return survivorship.golden_records(rows, as_of)
+    return golden_tables(Resolution(rows, links), as_of)[0]
 
 
 def golden_tables(res: Resolution, as_of: str) -> tuple[DataFrame, DataFrame]:
-    """Masters with their maps, and their identifier rows."""
+    """Masters with their maps, and their identifier rows; what prior masters had gathered stays with them."""
     golden = survivorship.golden_records(res.members, as_of)
     ids = survivorship.identifier_values(res.members, golden)
     for part in (survivorship.map_by_source(res.members, "crm_source_id", "crm_contact_ids"),

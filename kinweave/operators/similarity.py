@@ -33,11 +33,20 @@ def trigram_match(raw_values: DataFrame, master_values: DataFrame, threshold: fl
     only reach the threshold if their first ``n - ceil(t n) + 1`` trigrams intersect. Nothing is lost, and frequent
     trigrams hardly ever become join keys. Lengths are compared before the sets.
     """
+    left, right = _distinct_values(raw_values, master_values)
+    found = similar_texts(left.withColumnRenamed("a", "text"), right.select("tenant_id", "rule_id", F.col("b").alias("text")), threshold)
+    best = found.join(right, ["tenant_id", "rule_id", "b"]).groupBy("tenant_id", "rule_id", "a").agg(
+        F.min(F.struct("created_at", "master_profile_id", "measure")).alias("_m")).select(
+        "tenant_id", "rule_id", "a", "_m.*")
+    return _back_to_raws(raw_values, best)
+
+
+def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(tenant_id, rule_id, a, b, measure) of all similar pairs of distinct texts (tenant_id, rule_id, text) of two tables."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    left, right = _distinct_values(raw_values, master_values)
-    left = left.withColumn("side", F.lit("a")).withColumnRenamed("a", "text").select("side", "tenant_id", "rule_id", "text")
-    texts = left.unionByName(right.select(F.lit("b").alias("side"), "tenant_id", "rule_id", F.col("b").alias("text")))
+    sides = [df.select(F.lit(side).alias("side"), "tenant_id", "rule_id", "text") for side, df in (("a", left), ("b", right))]
+    texts = sides[0].unionByName(sides[1])
     texts = texts.withColumn("grams", trigrams("text")).withColumn("n", F.size("grams")).where("n > 0")
     tokens = texts.select("side", "tenant_id", "rule_id", "text", "n", F.explode("grams").alias("gram"))
     frequency = tokens.groupBy("tenant_id", "rule_id", "gram").agg(F.count("*").alias("df"))
@@ -54,11 +63,28 @@ def trigram_match(raw_values: DataFrame, master_values: DataFrame, threshold: fl
     near = one.join(two, ["tenant_id", "rule_id", "gram"]).where(
         (F.least("na", "nb") + F.lit(1e-9)) >= F.greatest("na", "nb") * F.lit(threshold))
     hits = near.withColumn("measure", similarity("ga", "gb")).where(F.col("measure") >= threshold - 1e-9)
-    found = hits.select("tenant_id", "rule_id", "a", "b", "measure").distinct()
-    best = found.join(right, ["tenant_id", "rule_id", "b"]).groupBy("tenant_id", "rule_id", "a").agg(
-        F.min(F.struct("created_at", "master_profile_id", "measure")).alias("_m")).select(
-        "tenant_id", "rule_id", "a", "_m.*")
-    return _back_to_raws(raw_values, best)
+    return hits.select("tenant_id", "rule_id", "a", "b", "measure").distinct()
+
+
+def fuzzy_edges(values: DataFrame, rules, node: str = "seq") -> DataFrame:
+    """(u, v, rule_id, attribute), u > v: the first nodes of every two texts that a trigram rule takes for the same.
+
+    ``values``: (tenant_id, rule_id, attribute, value, node). Rows with one and the same text are linked by equality already,
+    so one node per text stands for them.
+    """
+    first = values.groupBy("tenant_id", "rule_id", "attribute", F.col("value").alias("text")).agg(F.min(node).alias("n"))
+    parts = []
+    for r in rules:
+        own = first.where(F.col("rule_id") == r.id)
+        near = similar_texts(own, own, r.threshold).where("a < b")
+        a = own.select("tenant_id", "rule_id", "attribute", F.col("text").alias("a"), F.col("n").alias("na"))
+        b = own.select("tenant_id", "rule_id", F.col("text").alias("b"), F.col("n").alias("nb"))
+        met = near.join(a, ["tenant_id", "rule_id", "a"]).join(b, ["tenant_id", "rule_id", "b"]).where("na <> nb")
+        parts.append(met.select(F.greatest("na", "nb").alias("u"), F.least("na", "nb").alias("v"), "rule_id", "attribute"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def _deletions(text, max_distance: int):

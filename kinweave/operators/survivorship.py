@@ -57,8 +57,11 @@ def consolidate(members: DataFrame, policies: dict[str, str], key: str = MASTER)
 
 def map_by_source(members: DataFrame, value: str, name: str, key: str = MASTER) -> DataFrame:
     """{source system: id} per master, the last id of each source; size bounded by the number of sources."""
-    last = members.where(F.col(value).isNotNull() & F.col("source_system").isNotNull()).groupBy(
-        key, "source_system").agg(F.max_by(value, "seq").alias("v"))
+    rows = members.where(F.col(value).isNotNull() & F.col("source_system").isNotNull()).select(
+        key, "seq", "source_system", F.col(value).alias("v"))
+    if f"prior_{name}" in members.columns:  # a prior master's entries count at its place in the order
+        rows = rows.unionByName(members.select(key, "seq", F.explode(f"prior_{name}").alias("source_system", "v")))
+    last = rows.groupBy(key, "source_system").agg(F.max_by("v", "seq").alias("v"))
     return last.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("source_system", "v")))).alias(name))
 
 
@@ -72,8 +75,10 @@ def identifier_values(members: DataFrame, golden: DataFrame, key: str = MASTER)
     """(master, kind, value): visitor ids, and the emails and phones that differ from the primary one."""
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in (
         ("web_visitor", "web_visitor_id"), ("email", "email"), ("phone", "phone_number"))])
-    most = 3 * members.count()
+    if "prior_values" in members.columns:
+        kinds = F.concat(kinds, F.coalesce("prior_values", F.array().cast("array<struct<kind:string,value:string>>")))
     values = members.select(key, F.explode(kinds).alias("i")).select(key, "i.*").where("value <> ''").distinct()
+    most = values.count()
     primary = golden.select(key, F.lower("email").alias("_e"), F.col("phone_number").alias("_p"))
     joined = lookup_join(values, primary, key, most)
     same = ((F.col("kind") == "email") & F.lower("value").eqNullSafe(F.col("_e"))) | (
@@ -86,12 +91,15 @@ def identifier_values(members: DataFrame, golden: DataFrame, key: str = MASTER)
 def golden_records(members: DataFrame, as_of: str, key: str = MASTER) -> DataFrame:
     """Scalar golden record per master. Prior masters take part as the earliest rows of their group."""
     extra = [F.min_by("prior_created_at", "seq").alias("_created")] if "prior_created_at" in members.columns else []
+    systems = set_union("source_system")
+    if "prior_source_systems" in members.columns:
+        systems = F.array_sort(F.array_distinct(F.concat(systems, F.flatten(F.collect_set("prior_source_systems")))))
     merged = members.groupBy("tenant_id", key).agg(
         *[first_non_blank(c).alias(c) for c in PREFER_MASTER],
         *[last_non_null(c).alias(c) for c in PREFER_RAW],
         last_non_null("preferred_communication").alias("preferred_communication"),
         F.max("last_seen_at").alias("last_seen_at"), latest_struct().alias("_latest"),
-        set_union("source_system").alias("source_systems"),
+        systems.alias("source_systems"),
         F.min_by("raw_profile_id", "seq").alias("first_seen_raw_profile_id"),
         F.count("*").alias("member_rows"), *extra,
     )

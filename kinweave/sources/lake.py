@@ -15,9 +15,9 @@ def enrich_ingest(df: DataFrame, as_of: str, ts: str = "datetime") -> DataFrame:
 def write_event_lake(df: DataFrame, path: str, mode: str = "append") -> None:
     """Keep every event, partitioned by date and type.
 
-    Rows are first spread by partition and a hash, so one busy day and type is written by many tasks, not one.
+    Rows are rebalanced by partition: small ones are written by one task, and a busy day and type is split by its size.
     """
-    spread = df.repartition("event_date", "event_type", F.pmod(F.xxhash64("event_id"), F.lit(16)))
+    spread = df.hint("rebalance", "event_date", "event_type")
     spread.write.mode(mode).partitionBy("event_date", "event_type").parquet(path)
 
 

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinweave.operators import survivorship
 from kinweave.operators.jobs import LOOK_BACK_MINUTES
-from kinweave.operators.resolution import _CARRIED, pending_raw, resolve_sequential
+from kinweave.operators.resolution import _CARRIED, golden_tables, pending_raw, resolve_sequential
 from kinweave.plans.storage import materialize
 from kinweave.streaming.store import append_upserts, current
 
@@ -78,7 +77,7 @@ def resolve_batch(store: ResolutionStore, batch: DataFrame, batch_id: int, look_
     as_of = todo.agg(F.max("received_at").cast("string").alias("m")).first().m
     priors = materialize(relevant_masters(store.masters(batch_id), todo))
     result = resolve_sequential(todo, priors, as_of=as_of)
-    golden = survivorship.golden_records(result.members, as_of)
+    golden = golden_tables(result, as_of)[0]
     rows = golden.select(*[
         F.col(f.name) if f.name in golden.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in store.master_schema.fields])

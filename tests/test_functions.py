@@ -18,9 +18,8 @@ def column(spark, values, expr, kind="string"):
 
 
 def test_uuid5(spark):
-    values = ["This is my unique identifier string.", "", "ü-漢字", "a" * 500]
+    values = ["kinweave:tenant-7:row-42", "", "ü-漢字", "a" * 500]
     assert column(spark, values, ids.uuid5_dns) == [str(uuid.uuid5(uuid.NAMESPACE_DNS, v)) for v in values]
-    assert column(spark, values[:1], ids.uuid5_dns) == ["a80b4d85-791c-55d8-b265-7edd4a270b28"]
 
 
 def test_sanitize(spark):
@@ -32,11 +31,11 @@ def test_sanitize(spark):
 def test_contact_checks(spark):
     emails = ["a@b.co", "a.b+c%d@x-y.org", "a@b", "@b.co", "a b@c.de", "", None]
     assert column(spark, emails, text.is_valid_email) == [True, True, False, False, False, False, False]
-    phones = ["0961234567", "+84961234567", " 0903122290 ", "870000372432", "09123456789", "09a1234567", "+", "", None]
+    phones = ["0975550148", "+84975550148", " 0985550163 ", "841275550199", "09755501486", "09a5550148", "+", "", None]
     assert column(spark, phones, text.is_valid_basic_phone) == [True] * 5 + [False] * 4
-    assert column(spark, ["0961234567", "84961234567", "+84 96 123 4567", "12", None], text.normalize_phone_e164) == [
-        "+84961234567", "+84961234567", "+84961234567", None, None]
-    mobiles = ["+84961234567", "0381234567", "0951234567", "+84091234567", "08491234567", "091234567", "09123456789"]
+    assert column(spark, ["0975550148", "84975550148", "+84 97 555 0148", "12", None], text.normalize_phone_e164) == [
+        "+84975550148", "+84975550148", "+84975550148", None, None]
+    mobiles = ["+84975550148", "0385550148", "0955550148", "+84095550148", "08495550148", "095550148", "09555501489"]
     assert column(spark, mobiles, text.is_vn_mobile) == [True, True, False, False, False, False, False]
 
 

@@ -79,3 +79,24 @@ def test_scans_are_pruned_and_filtered(spark):
     plan = lake.retention_filter(events, "ts", 7, "2024-01-30 10:30:00").select("event_id")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts,2024-01-23T11:00" in plan
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+
+
+def test_null_and_hot_keys_are_spread(spark):
+    """Half of the rows without a key, half of the rest on one key; no partition of the join takes more than its share."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, None).when(
+            F.col("id") % 4 == 1, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 997)).alias("k"))
+        lookup = rows.where("k is not null").groupBy("k").agg(F.min("id").alias("v")).hint("merge")
+        for least in (500, 10**6):
+            joined = lookup_join(rows, lookup, "k", 40_000, least)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            hot = 10_000 if least == 10**6 else 0  # a key below the limit may stay together
+            assert max(sizes) - hot <= 3 * 40_000 / len(sizes), (least, sizes)
+            assert joined.where("k is null and v is not null").count() == 0 and joined.count() == 40_000
+        least = with_minimum(rows, "k", {"m": F.col("id")}, 40_000)
+        sizes = [r["count"] for r in least.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) - 10_000 <= 3 * 40_000 / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.config import DEFAULT_RULES
+from kinweave.config import DEFAULT_RULES, Rule
 from kinweave.operators import jobs, resolution, survivorship
 from kinweave.plans import tables
 from kinweave.schema import RAW_TEXT_COLUMNS, RAW_TYPES
@@ -154,3 +154,42 @@ def test_windows_and_ledger(spark):
     assert [r.tenant_id for r in jobs.plan_jobs(entry, wanted).collect()] == ["t1"]
     counts = {r.window_index: r.pending for r in jobs.backfill_windows(df, "2025-05-01 00:02:00", 60, 5).collect()}
     assert counts == {0: 1, 1: 1}
+
+
+def test_two_windows_give_the_sets_and_maps_of_one_sweep(spark):
+    rows = [
+        {"email": "a@x", "source_system": "web", "web_visitor_id": "v1"},
+        {"email": "A@x", "source_system": "CRM", "crm_source_id": "c1", "phone_number": "1"},
+        {"phone_number": "1", "email": "other@x", "source_system": "ERP", "crm_source_id": "e1", "ext_attributes": {"k": "1"}},
+        {"email": "b@x", "source_system": "shop"},
+        {"email": "other@x", "source_system": "web", "web_visitor_id": "v9", "phone_number": "2", "ext_attributes": {"l": "2"}},
+        {"email": "b@x", "phone_number": "2", "source_system": "app", "web_visitor_id": "v3"},
+        {"email": "new@x", "source_system": "app"},
+    ]
+    everything = raws(spark, *rows)
+    early, late = everything.where("raw_profile_id < 'r4'"), everything.where("raw_profile_id >= 'r4'")
+
+    def state(golden, values):
+        return ({(r.master_profile_id, r.email, r.phone_number, tuple(r.source_systems), tuple(sorted(r.crm_contact_ids.items())),
+                  tuple(sorted(r.ext_attributes.items()))) for r in golden.collect()},
+                {(r.master_profile_id, r.kind, r.value) for r in values.collect()})
+
+    once = state(*resolution.golden_tables(resolution.resolve_transitive(everything, as_of=AS_OF), AS_OF))
+    first = resolution.resolve_transitive(early, as_of="2025-05-01 00:10:00")
+    golden, values = resolution.golden_tables(first, "2025-05-01 00:00:00")
+    founded = first.members.where("seq = root").select("master_profile_id", "arrived_at")
+    prior = survivorship.with_identifier_arrays(golden, values).join(founded, "master_profile_id").withColumn(
+        "created_at", F.col("arrived_at")).drop("arrived_at")
+    second = resolution.resolve_transitive(late, prior, as_of=AS_OF)
+    assert state(*resolution.golden_tables(second, AS_OF)) == once
+
+
+def test_rules_are_followed_by_their_kind(spark):
+    rows = raws(spark, {"last_name": "Jonathan Smith"}, {"last_name": "Jonathan Smyth"}, {"last_name": "Mary Poe"})
+    named = lambda kind, least=None: [Rule(1, "last_name", kind, least)]
+    run = lambda rules, masters=None: groups(resolution.resolve_transitive(rows, masters, rules=rules, as_of=AS_OF))
+    assert run(named("fuzzy_trgm", 0.5)) == [["r0", "r1"], ["r2"]]
+    assert run(named("fuzzy_trgm")) == run(named("no_such_kind")) == run(named("exact")) == [["r0"], ["r1"], ["r2"]]
+    assert run(named("fuzzy_dmetaphone")) == [["r0", "r1"], ["r2"]]
+    with pytest.raises(ValueError):
+        resolution.resolve_sequential(rows, rules=(Rule(1, "email", "fuzzy_trgm", 0.5), Rule(2, "phone_number")))
