@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 from pathlib import Path
 
@@ -54,7 +55,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kinweave-")).config("spark.ui.enabled", "false").config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     small = str(Path(folder).parent / "sf0.001")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 import math
+import tempfile
 import time
 from decimal import Decimal
 
@@ -22,7 +23,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def session(cpus: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", str(cpus))
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "10g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kinweave-")).config("spark.ui.enabled", "false").config("spark.driver.memory", "10g")
         .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -6,6 +6,7 @@ so every iterative job here stores its rounds this way.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,12 +16,12 @@ _local_dirs: dict[str, str] = {}
 
 
 def working_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: ``spark.checkpoint.dir``; a temporary folder only when Spark runs locally."""
+    """Folder for intermediate tables: ``spark.checkpoint.dir``; a temporary folder only in a single JVM, as in tests."""
     app = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return f"{configured.rstrip('/')}/kinweave-{app}"
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="kinweave-")
