@@ -12,7 +12,7 @@ from array import array
 import numpy as np
 
 #: Pieces that one Python worker remembers; further ones are encoded again in every batch.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 #: Punctuation that may be cut off behind a letter or digit: the tokenizer separates it there anyway.
 TAIL = b".,;:!?"
 
@@ -83,8 +83,13 @@ class WordEncoder:
                 pieces.extend(own)
         if not pieces:
             return np.zeros(0, np.uint32), counts
-        self._learn({p for p in pieces if p not in self.place})
-        places = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+        get = self.place.get
+        places = np.array([get(p, -1) for p in pieces], np.int64)
+        unknown = np.flatnonzero(places < 0)
+        if len(unknown):
+            new = [pieces[i] for i in unknown]
+            self._learn(set(new))
+            places[unknown] = [self.place[p] for p in new]
         starts, lengths = np.array(self.starts)[places], np.array(self.lengths)[places]
         ends = np.cumsum(lengths)
         take = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
