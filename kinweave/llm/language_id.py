@@ -23,7 +23,7 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.1
 CHARS_AT_ONCE = 1_000_000
 UNKNOWN = "und"
-MIN_SCORE = 0.5
+MIN_SCORE = 0.35
 
 _letters: list[np.ndarray] = []
 
