@@ -33,6 +33,7 @@ SHINGLE = 5
 PERCENT = 85
 K = 64
 SURE = 33
+PARITY = 8
 BYTES_AT_ONCE = 4_000_000
 
 
@@ -124,11 +125,31 @@ def _hub_pairs(lists: DataFrame, order) -> DataFrame:
     return met.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
+def _parities(texts: DataFrame) -> DataFrame:
+    """(node, s0, s1, ...): which of ``64 * PARITY`` hash classes hold an odd number of the node's shingles.
+
+    Two sets differ in at least as many shingles as their parities differ in bits.
+    """
+    def run(batches):
+        zip_ = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for piece in B.slices(batch, "packed", BYTES_AT_ONCE // 4):
+                h, d = shingle_sets([zip_.decompress(t).decode() for t in piece.column("packed").to_pylist()])
+                at = d * (64 * PARITY) + (h % np.uint64(64 * PARITY)).astype(np.int64)
+                odd = (np.bincount(at, minlength=piece.num_rows * 64 * PARITY) % 2).astype(np.uint8)
+                words = np.packbits(odd, bitorder="little").view("<i8").reshape(-1, PARITY)
+                yield pa.RecordBatch.from_arrays([piece.column("node"), *map(pa.array, words.T)], names=["node", *[f"s{k}" for k in range(PARITY)]])
+
+    schema = "node long, " + ", ".join(f"s{k} long" for k in range(PARITY))
+    return texts.select("node", "packed").mapInArrow(run, schema)
+
+
 def _other_pairs(lists: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of nodes in different components that may still be linked, smaller node first.
 
     Only nodes of lists with several components take part. They are joined once more on their full sets, where the prefix and
-    position filters are exact: what a node holds alone counts against it, and with it the sizes it can be linked with.
+    position filters are exact: what a node holds alone counts against it, and with it the sizes it can be linked with. Pairs
+    whose parities differ in more bits than linked sets may differ in shingles are not even put out.
     """
     several = lists.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("value")
     open_nodes = lists.join(several, "value").select("node", "n", "root").distinct()
@@ -152,10 +173,14 @@ def _other_pairs(lists: DataFrame, texts: DataFrame) -> DataFrame:
     most = F.floor((F.col("n") - F.col("alone") - F.col("k")) * (100 + PERCENT) / PERCENT) - F.col("n")
     short = prefix.select(F.col("f.value").alias("value"), "node", "n", "root", most.alias("most"))
     useful = short.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).where("lo < hi")
-    lists = materialize(short.join(useful.select("value", "least"), "value").where("most >= least").drop("least"))
-    left = lists.select("value", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "root", "most")])
-    right = lists.select("value", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "root", "most")])
+    kept = short.join(useful.select("value", "least"), "value").where("most >= least").drop("least")
+    lists = materialize(kept.join(_parities(texts.join(open_nodes, "node")), "node"))
+    names = ["node", "n", "root", "most", *[f"s{k}" for k in range(PARITY)]]
+    left = lists.select("value", *[F.col(c).alias(f"{c}_a") for c in names])
+    right = lists.select("value", *[F.col(c).alias(f"{c}_b") for c in names])
     met = left.join(right, "value").where("node_a < node_b and root_a != root_b and n_a <= most_b and n_b <= most_a")
+    apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(PARITY)), F.lit(0))
+    met = met.where(apart * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT))
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
