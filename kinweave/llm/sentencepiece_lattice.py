@@ -24,7 +24,8 @@ UNKNOWN_SCORE = -40.0
 BLANK = "▁"
 #: Stands for a ``▁`` of the text itself, which is written as bytes; no word of a text has ``▁`` behind another character.
 LITERAL = "\x00" + BLANK
-SHARD_BYTES = 6_000_000
+#: Partitions of the lattice per shuffle partition, so that a partition's edges are grouped in memory, and shards per partition.
+FINER, SHARDS = 6, 2
 
 
 @dataclass
@@ -128,7 +129,8 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shards = max(8, -(-B.text_bytes(rows) // SHARD_BYTES))
+    parts = FINER * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = SHARDS * parts
     packed = B.pack(rows)
     byte_ids = np.array(pieces.bytes, np.int64)
 
@@ -193,7 +195,7 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
 
     requests = B.ask(packed, request)
     # Dealt by shard again, as Spark does not see that the function keeps it: edges, paths and answers then need no exchange.
-    words = requests.groupBy("shard").applyInArrow(distinct, "shard int, place int, word string").repartition("shard")
+    words = requests.groupBy("shard").applyInArrow(distinct, "shard int, place int, word string").repartition(parts, "shard")
     paths = best_paths(words, pieces.table(spark), pieces.longest)
     replies = requests.groupBy("shard").cogroup(paths.groupBy("shard")).applyInArrow(reply, B.REPLY)
     kind = dict(rows.dtypes)["doc_id"]
