@@ -98,6 +98,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS s
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) > 49)),
+        f AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM win JOIN f USING (s) WHERE first < doc_id),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id),
+        lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)""",
+    "op3_minhash_dedup": r"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+        o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+        e AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+        both_ways AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+        reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT a, y FROM reach JOIN both_ways ON x = b)
+        SELECT r.a AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(b) AS component_id, r.a = min(b) AS kept
+        FROM reach r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a""",
     "op7_url_filters": r"""
         WITH r(verdict, rh, rp) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'),
                                            ('allow', 'org', '/fr/')),
