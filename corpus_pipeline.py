@@ -30,8 +30,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return minhash_dedup.keep_representatives(docs)
+    """One document of each group of near duplicates: five-word shingles, Jaccard 0.8 or more."""
+    return minhash_dedup.keep_representatives(docs, percent=NEAR_PERCENT)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,6 +46,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_lattice.round_trip(docs, sentencepiece_lattice.load_pieces(public_tokenizers.path(PIECES)))
 
 
+#: Near duplicates of the pipeline have a shingle Jaccard of at least this; op3's own contract is 85.
+NEAR_PERCENT = 80
+
 STAGES = [
     ("language_id", identify_language),
     ("exact_dedup", drop_copies),

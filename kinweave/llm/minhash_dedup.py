@@ -11,12 +11,15 @@
    and exact Jaccard on the full sets confirms.
    Links inside a component are not looked for, since they cannot change it.
 
-The overlap bound holds for certain for sets up to ``K / 0.37`` shingles or so; beyond that it fails for a pair at the threshold with
-a probability below 1e-10 (hypergeometric tail).
+The similarity is an argument in percent. The overlap bound holds for certain for sets up to ``K / 0.37`` shingles or so at 85 %
+(about 140 at 80 %); beyond that it fails for a pair at the threshold with a probability below 1e-10 (binomial tail).
 """
 
 from __future__ import annotations
 
+from functools import cache
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -32,15 +35,29 @@ from kinweave.plans.storage import materialize
 SHINGLE = 5
 PERCENT = 85
 K = 64
-SURE = 33
+TAIL = 1e-10
 PARITY = 8
 BYTES_AT_ONCE = 4_000_000
 
 
-def least_overlap(n: int) -> int:
+@cache
+def sure_overlap(percent: int) -> int:
+    """The largest number of common values that a ``K``-value sample of a union at the threshold misses with less than ``TAIL``."""
+    q, below = percent / 100, 0.0
+    for s in range(K + 1):
+        below += comb(K, s) * q ** s * (1 - q) ** (K - s)
+        if below >= TAIL:
+            return s
+    return K
+
+
+SURE = sure_overlap(PERCENT)
+
+
+def least_overlap(n: int, percent: int = PERCENT) -> int:
     """Retained values that a set of ``n`` shingles shares with any set similar enough, at least."""
-    lost = -(-n * (100 - PERCENT) // PERCENT)  # elements of the union outside the intersection, at most
-    return max(SURE, K - lost) if n >= K else min(-(-n * PERCENT // 100), K - lost)
+    lost = -(-n * (100 - percent) // percent)  # elements of the union outside the intersection, at most
+    return max(sure_overlap(percent), K - lost) if n >= K else min(-(-n * percent // 100), K - lost)
 
 
 def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +107,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         run, "doc_id long, text_key long, row long, n long, node long, sketch binary")
 
 
-def inverted_lists(nodes: DataFrame) -> DataFrame:
+def inverted_lists(nodes: DataFrame, percent: int) -> DataFrame:
     """(value, node, n): each node under the rarest of its retained values that others retain too."""
     def explode(batches):
         for batch in batches:
@@ -103,9 +120,9 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     values = nodes.select("node", "n", "sketch").mapInArrow(explode, "value long, node long, n long")
     shared = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     kept = F.least(F.col("n"), F.lit(K))
-    lost = F.ceil(F.col("n") * (100 - PERCENT) / PERCENT)
-    overlap = F.when(F.col("n") >= K, F.greatest(F.lit(SURE), K - lost)).otherwise(
-        F.least(F.ceil(F.col("n") * PERCENT / 100), K - lost))
+    lost = F.ceil(F.col("n") * (100 - percent) / percent)
+    overlap = F.when(F.col("n") >= K, F.greatest(F.lit(sure_overlap(percent)), K - lost)).otherwise(
+        F.least(F.ceil(F.col("n") * percent / 100), K - lost))
     # Values of one node only come first in the order of frequency; they fill the prefix without making a list.
     take = kept - overlap + 1 - (kept - F.size("found"))
     by_node = values.join(shared, "value").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("found"))
@@ -113,15 +130,15 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     return prefix.select(F.col("f.value").alias("value"), "node", "n")
 
 
-def _fits(a, b):
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT)
+def _fits(a, b, percent: int):
+    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
-def _hub_pairs(lists: DataFrame, order) -> DataFrame:
+def _hub_pairs(lists: DataFrame, order, percent: int) -> DataFrame:
     """Pairs (a, b) of every list's hub, the member first in ``order``, with its members in other components."""
     hubs = lists.groupBy("value").agg(F.min(F.struct(order.alias("o"), "node", "n", "root")).alias("hub"), F.min("root").alias("lo"),
                                       F.max("root").alias("hi")).where("lo < hi")
-    met = lists.join(hubs, "value").where((F.col("root") != F.col("hub.root")) & _fits(F.col("n"), F.col("hub.n")))
+    met = lists.join(hubs, "value").where((F.col("root") != F.col("hub.root")) & _fits(F.col("n"), F.col("hub.n"), percent))
     return met.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
@@ -144,7 +161,7 @@ def _parities(texts: DataFrame) -> DataFrame:
     return texts.select("node", "packed").mapInArrow(run, schema)
 
 
-def _other_pairs(lists: DataFrame, texts: DataFrame) -> DataFrame:
+def _other_pairs(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes in different components that may still be linked, smaller node first.
 
     Only nodes of lists with several components take part. They are joined once more on their full sets, where the prefix and
@@ -166,11 +183,11 @@ def _other_pairs(lists: DataFrame, texts: DataFrame) -> DataFrame:
         explode, "value long, node long, n long, root long")
     shared = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     alone = F.col("n") - F.size("found")
-    take = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - alone
+    take = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone
     full = values.join(shared, "value").groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("found"))
     prefix = full.where(take > 0).select("node", "n", "root", alone.alias("alone"), F.posexplode(F.slice("found", F.lit(1), take.cast("int"))).alias("k", "f"))
     # At most n - alone - k values are common, so the other set has at most this many.
-    most = F.floor((F.col("n") - F.col("alone") - F.col("k")) * (100 + PERCENT) / PERCENT) - F.col("n")
+    most = F.floor((F.col("n") - F.col("alone") - F.col("k")) * (100 + percent) / percent) - F.col("n")
     short = prefix.select(F.col("f.value").alias("value"), "node", "n", "root", most.alias("most"))
     useful = short.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).where("lo < hi")
     kept = short.join(useful.select("value", "least"), "value").where("most >= least").drop("least")
@@ -180,11 +197,11 @@ def _other_pairs(lists: DataFrame, texts: DataFrame) -> DataFrame:
     right = lists.select("value", *[F.col(c).alias(f"{c}_b") for c in names])
     met = left.join(right, "value").where("node_a < node_b and root_a != root_b and n_a <= most_b and n_b <= most_a")
     apart = sum((F.bit_count(F.col(f"s{k}_a").bitwiseXOR(F.col(f"s{k}_b"))) for k in range(PARITY)), F.lit(0))
-    met = met.where(apart * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT))
+    met = met.where(apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs that the union sketch lets through; ``sure`` marks those it decides."""
     def run(batches):
         for batch in batches:
@@ -193,12 +210,12 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
                 both = np.intersect1d(x, y, assume_unique=True)
                 if nx <= K and ny <= K:
-                    sure.append(100 * len(both) >= PERCENT * (nx + ny - len(both)))
+                    sure.append(100 * len(both) >= percent * (nx + ny - len(both)))
                     keep.append(sure[-1])
                 else:
                     union = np.union1d(x, y)[:K]
                     common = int(np.searchsorted(both, union[-1], "right"))
-                    keep.append(common >= least_overlap(max(min(nx, ny), K)))
+                    keep.append(common >= least_overlap(max(min(nx, ny), K), percent))
                     sure.append(False)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sure, pa.bool_())], names=["a", "b", "sure"]).filter(
                 pa.array(keep, pa.bool_()))
@@ -208,7 +225,7 @@ def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, sure boolean")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full shingle sets are similar enough."""
     def run(batches):
         zip_, last, own = zstandard.ZstdDecompressor(), None, None
@@ -219,7 +236,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     last, own = a, shingle_sets([zip_.decompress(x).decode()])[0]
                 other = shingle_sets([zip_.decompress(y).decode()])[0]
                 both = len(np.intersect1d(own, other, assume_unique=True))
-                keep.append(100 * both >= PERCENT * (len(own) + len(other) - both))
+                keep.append(100 * both >= percent * (len(own) + len(other) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left, right = texts.select(F.col("node").alias("a"), F.col("packed").alias("ta")), texts.select(F.col("node").alias("b"), F.col("packed").alias("tb"))
@@ -239,14 +256,14 @@ def _packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return packed.join(nodes, ["doc_id", "text_key"]).select("node", "packed")
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n, root), stored: the component of every row, NULL for rows that take part in no link."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = materialize(sketches(rows))
     whose = sets.where("node is not null and doc_id is not null")
     first = whose.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias("row"))
     nodes = materialize(whose.join(first, "row").drop("row"))
-    lists = materialize(inverted_lists(nodes))
+    lists = materialize(inverted_lists(nodes, percent))
     listed = lists.select("node").distinct()
     # The text of a node's first document; an id may have several texts, so the text's hash is part of the key.
     keys = nodes.join(listed, "node", "left_semi").select("node", "doc_id", "text_key")
@@ -256,9 +273,9 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         with_root = lists.withColumn("root", F.col("node")) if roots is None else lists.join(
             roots.withColumnRenamed("root", "r"), "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
         order = F.col("node") if turn == 0 else F.xxhash64("node", "value")
-        pairs = _hub_pairs(with_root, order) if turn < 2 else _other_pairs(with_root, texts)
-        estimated = materialize(_estimated(pairs, nodes))
-        found = estimated.where("sure").select("a", "b").unionByName(_confirmed(estimated.where("not sure"), texts))
+        pairs = _hub_pairs(with_root, order, percent) if turn < 2 else _other_pairs(with_root, texts, percent)
+        estimated = materialize(_estimated(pairs, nodes, percent))
+        found = estimated.where("sure").select("a", "b").unionByName(_confirmed(estimated.where("not sure"), texts, percent))
         edges = found.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         links = materialize(edges if links is None else edges.unionByName(links))
         roots = connected_components(links)
@@ -267,16 +284,16 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return materialize(named.select("doc_id", "text_key", "n", "root"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row.
 
     A set holds the distinct runs of five words (``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased), or the whole sequence of a shorter
     text; NULL texts and texts without words have an empty set and no links. Documents are linked when
-    ``100 * intersection >= 85 * union``; ``component_id`` is the smallest doc_id reachable and ``kept`` says whether it is the row's own.
+    ``100 * intersection >= percent * union``; ``component_id`` is the smallest doc_id reachable and ``kept`` says whether it is the row's own.
     Ids are integers. Rows that share an id and a text are equal in all columns; rows that share an id with other texts are judged
     one by one. A row without an id takes part in no link and is kept. Other columns are ignored.
     """
-    named = components(docs, doc_id, text)
+    named = components(docs, doc_id, text, percent)
     least = named.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     component = F.coalesce("least", "doc_id")
     return named.join(least, "root", "left").select(
@@ -284,12 +301,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row of each component, columns unchanged: the smallest id, then the smallest hash of the text.
 
     Rows without words or id are no duplicates of anything and stay, but rows that repeat both id and text stay once.
     """
-    named = components(docs, doc_id, text)
+    named = components(docs, doc_id, text, percent)
     first = named.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("f")).select("f.*")
     stay = first.unionByName(named.where("root is null").select("doc_id", "text_key").distinct()).select(
         F.struct(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).alias("_stay"))

@@ -123,6 +123,64 @@ def test_overlap_bound():
                 assert minhash_dedup.least_overlap(size) <= max(sure, minhash_dedup.SURE)
 
 
+def links_at(docs, percent):
+    """{doc_id: smallest reachable id} by plain loops over all pairs."""
+    sets, up = {d: brute.shingles(t) for d, t in docs}, {d: d for d, _ in docs}
+
+    def top(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    ids = sorted(sets)
+    for k, b in enumerate(ids):
+        for a in ids[:k]:
+            n = len(sets[a] & sets[b])
+            if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+                lo, hi = sorted((top(a), top(b)))
+                up[hi] = lo
+    return {d: top(d) for d in ids}
+
+
+def test_near_at_80_percent(spark, save):
+    """Pairs from 0.76 to 0.88, of short and of long texts: the stage's 80 % links more than op3's 85 %."""
+    import corpus_pipeline
+
+    docs, bands = [], set()
+    for size in (12, 40, 70, 150, 400, 1500):
+        for k, share in enumerate((0.76, 0.79, 0.80, 0.81, 0.83, 0.845, 0.85, 0.88)):
+            n = size + 4
+            words, base = [f"s{size}k{k}w{i}" for i in range(n)], 100 * size + 2 * k
+            changed = round(size * (1 - share))  # shingles the second text loses at its end and the first never had
+            docs += [(base, " ".join(words)), (base + 1, " ".join(words[:n - changed]))]
+            j = len(brute.shingles(docs[-1][1])) / len(brute.shingles(docs[-2][1]))
+            bands.add("mid" if 0.8 <= j < 0.85 else "other")
+    docs += [(900_000 + k, " ".join([*(f"h{i}" for i in range(60)), *(f"h{k}x{i}" for i in range(7 + k % 3))])) for k in range(40)]
+    assert bands == {"mid", "other"}
+    saved = save([(d, t, None, None) for d, t in docs])
+    for percent in (80, 85):
+        got = rows(minhash_dedup.near_duplicates(saved, percent=percent), "component_id")
+        assert {d: c for d, (c,) in got.items()} == links_at(docs, percent)
+    want = links_at(docs, 80)
+    assert want != links_at(docs, 85)
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"](spark, saved, SMALL)
+    assert sorted(r.doc_id for r in stage.collect()) == sorted(d for d, c in want.items() if d == c)
+
+
+def test_overlap_bound_at_80_percent():
+    k = minhash_dedup.K
+    assert minhash_dedup.SURE == 33 and minhash_dedup.sure_overlap(80) == 28
+    for n in range(1, 400):
+        for m in range(n, n * 100 // 80 + 1):
+            inside = -(-80 * (n + m) // 180)
+            if inside > n:
+                continue
+            outside = n + m - 2 * inside
+            sure = inside if m <= k else inside - (m - k) if n <= k else k - outside
+            for size in (n, m):
+                assert minhash_dedup.least_overlap(size, 80) <= max(sure, minhash_dedup.sure_overlap(80))
+
+
 @pytest.fixture(scope="module")
 def pieces():
     return lattice.load_pieces(tokenizers.path(queries.PIECES))
