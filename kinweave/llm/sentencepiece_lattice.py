@@ -1,6 +1,7 @@
 """Sub-word encoding by a relational lattice, and decoding.
 
-Texts are cut into words as SentencePiece marks them (a leading ``▁`` for a blank). The distinct words of every shard are exploded
+Texts are cut into words as SentencePiece marks them (a leading ``▁`` for every blank before the word), so that no piece reaches
+over a cut; longer ones are cut where no piece can, or else along their best path. The distinct words of every shard are exploded
 into substrings of bounded length, an equi-join with the piece table leaves the edges of each word's lattice, edges are grouped
 by word, and Spark's ``aggregate`` folds Viterbi over them in order of their end. Characters without a piece become bytes, so
 decoding is exact. Blocks of documents ask for the words they hold and put the answers together.
@@ -8,6 +9,7 @@ decoding is exact. Blocks of documents ask for the words they hold and put the a
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +24,8 @@ MAX_PIECES = 1_000_000
 MAX_WORD = 64
 UNKNOWN_SCORE = -40.0
 BLANK = "▁"
+#: Blanks and the word behind them.
+WORD = re.compile(" +[^ ]*|[^ ]+")
 #: Stands for a ``▁`` of the text itself, which is written as bytes; no word of a text has ``▁`` behind another character.
 LITERAL = "\x00" + BLANK
 #: Partitions of the lattice per shuffle partition, so that a partition's edges are grouped in memory, and shards per partition.
@@ -67,24 +71,72 @@ def load_pieces(path: str) -> Pieces:
     return Pieces([model.id_to_piece(i) for i in plain], plain, scores.tolist(), [names[f"<0x{b:02X}>"] for b in range(256)], size)
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words whose concatenation is ``▁`` and the text with ``▁`` for blanks; line feeds and literal ``▁`` are words of their own."""
+class Cutter:
+    """Cuts marked text so that the best paths of the parts make up the best path of the whole."""
+
+    def __init__(self, pieces: Pieces):
+        self.scores, self.longest = dict(zip(pieces.texts, pieces.scores)), pieces.longest
+        #: Two neighbouring characters that no piece holds can be cut apart.
+        self.joints = {t[i:i + 2] for t in pieces.texts for i in range(len(t) - 1)}
+        #: Whether a piece reaches over the end of a word, so that words are no parts.
+        self.over = any("\n" in j or j[1] == BLANK != j[0] for j in self.joints)
+
+    def __call__(self, run: str) -> list[str]:
+        ends = [i for i in range(1, len(run)) if run[i - 1:i + 1] not in self.joints]
+        out: list[str] = []
+        for start, stop in zip([0, *ends], [*ends, len(run)]):
+            part = run[start:stop]
+            out.extend([part] if len(part) <= MAX_WORD else self.best(part))
+        return out
+
+    def best(self, run: str) -> list[str]:
+        """The pieces of the best path, and characters without a piece; ties as in ``best_paths``."""
+        scores, longest = self.scores, self.longest
+        best, back = [0.0], [0]
+        for stop in range(1, len(run) + 1):
+            top, at = None, 0
+            for start in range(max(0, stop - longest), stop):
+                score = scores.get(run[start:stop])
+                if score is None:
+                    if stop - start > 1:
+                        continue
+                    score = UNKNOWN_SCORE
+                if top is None or best[start] + score > top:
+                    top, at = best[start] + score, start
+            best.append(top)
+            back.append(at)
+        out, stop = [], len(run)
+        while stop:
+            out.append(run[back[stop]:stop])
+            stop = back[stop]
+        return out[::-1]
+
+
+def words_of(text: str | None, cut: Cutter | None = None) -> list[str]:
+    """Words whose concatenation is ``▁`` and the text with ``▁`` for blanks; line feeds and literal ``▁`` are words of their own.
+
+    A run of blanks stays with the word behind it. ``cut`` divides words of more than ``MAX_WORD`` characters.
+    """
     out: list[str] = []
-    for n, line in enumerate((text or "").split("\n") if text else []):
+    if cut is not None and cut.over:
+        for j, run in enumerate((" " + text).split(BLANK) if text else []):
+            if j:
+                out.append(LITERAL)
+            out.extend(cut(run.replace(" ", BLANK)) if run else [])
+        return out
+    for n, line in enumerate(text.split("\n") if text else []):
         if n:
             out.append("\n")
-        for k, part in enumerate(line.split(" ")):
-            word = part if n and not k else BLANK + part
-            if len(word) <= MAX_WORD and BLANK not in part:
-                if word:
-                    out.append(word)
+        for word in WORD.findall(line if n else " " + line):
+            if BLANK not in word and (len(word) <= MAX_WORD or cut is None):
+                out.append(word.replace(" ", BLANK))
                 continue
-            head = word[:len(word) - len(part)]
-            for j, run in enumerate(part.split(BLANK)):
+            for j, run in enumerate(word.split(BLANK)):
                 if j:
                     out.append(LITERAL)
-                run = (head + run) if not j else run
-                out.extend(run[i:i + MAX_WORD] for i in range(0, len(run), MAX_WORD))
+                run = run.replace(" ", BLANK)
+                if run:
+                    out.extend([run] if len(run) <= MAX_WORD or cut is None else cut(run))
     return out
 
 
@@ -133,11 +185,12 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     shards = SHARDS * parts
     packed = B.pack(rows)
     byte_ids = np.array(pieces.bytes, np.int64)
+    cut = Cutter(pieces)
 
     def request(_, table):
         found = set()
         for t in table.column("text").to_pylist():
-            found.update(words_of(t))
+            found.update(words_of(t, cut))
         words = sorted(found - {LITERAL})
         shard = (B.word_hashes([w.encode() for w in words])[:, 0] % np.uint64(shards)).astype(np.int64)
         for s, (own,) in B.split_by(shard, np.array(words, object)):
@@ -168,7 +221,7 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
         return pa.table({"block": blocks, "data": pa.array(data, pa.binary())})
 
     def last(table, answers):
-        texts = [words_of(t) for t in table.column("text").to_pylist()]
+        texts = [words_of(t, cut) for t in table.column("text").to_pylist()]
         words = sorted(set().union(*texts) - {LITERAL})
         shard = (B.word_hashes([w.encode() for w in words])[:, 0] % np.uint64(shards)).astype(np.int64)
         sizes, ids = np.zeros(len(words) + 1, np.int64), {}

@@ -212,6 +212,34 @@ def test_pieces_odd(odd, empty, pieces):
     assert lattice.round_trip(empty, pieces).count() == 0
 
 
+def test_pieces_are_the_best_path_over_the_whole_text(save, pieces):
+    """Runs of blanks, indented code, words of more than MAX_WORD characters with and without places to cut."""
+    rng = np.random.default_rng(5)
+    letters = "abcdefghijklmnopqrstuvwxyz/.-=_0123456789"
+    texts = [
+        "a  b", "  two before", "end  ", " ", "def f(x):\n    if x:\n        return  x\n\n\tdone", " " * 200 + "far", "漢字仮名交じり文" * 20,
+        "การทดสอบข้อความยาว" * 12, "https://example.org/" + "".join(letters[i] for i in rng.integers(0, len(letters), 300)), "A" * 500, "=" * 130 + "  " + "internationalization" * 9,
+        "| a   | bb  |\n|" + "-" * 90 + "|", "x" * 63 + "internationalization",
+    ]
+    table = {t: (i, s) for t, i, s in zip(pieces.texts, pieces.ids, pieces.scores)}
+    got = {r.doc_id: r for r in lattice.round_trip(save([(k, t, None, None) for k, t in enumerate(texts)]), pieces).collect()}
+    for k, t in enumerate(texts):
+        want = brute.best_path("▁" + t.replace(" ", "▁"), table, pieces.longest, pieces.bytes, lattice.UNKNOWN_SCORE)
+        score = {i: s for i, s in table.values()}
+        assert got[k].decoded_sha256 == hashlib.sha256(t.encode()).hexdigest() and got[k].n_tokens == len(got[k].ids)
+        total = [sum(score.get(i, lattice.UNKNOWN_SCORE / 3) for i in ids) for ids in (got[k].ids, want)]
+        assert got[k].ids == want or (len(got[k].ids) == len(want) and abs(total[0] - total[1]) < 1e-6), t
+    assert got[0].n_tokens < 5
+
+
+def test_pieces_over_the_end_of_a_word():
+    """A table whose pieces reach over blanks and line feeds is followed too."""
+    odd = lattice.Pieces(["▁", "a", "b", "a▁b", "\n", "b\n"], list(range(6)), [-2.0, -3.0, -3.0, -1.0, -2.0, -1.0], list(range(6, 262)), 262)
+    cut = lattice.Cutter(odd)
+    assert cut.over and "".join(lattice.words_of("a b\na b", cut)) == "▁a▁b\na▁b"
+    assert lattice.words_of("a b", cut) == ["▁", "a▁b"]
+
+
 def reference_tokens(texts):
     from tokenizers import Tokenizer
 
