@@ -86,8 +86,10 @@ WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 180 MINUTE"
 def _(c):
     path = folder(c)
     e = table_stream(c, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    out = run_to_end(windows.windowed_counts(e, "ts", "1 hour"), path, "append")
-    return out.select(F.date_format("window_start", SECOND).alias("window_start"), "rows")
+    out = run_to_end(windows.windowed_counts(e, "ts", "1 hour"), path, "update")
+    # A window's count only grows, so the newest is the largest.
+    newest = out.groupBy("window_start").agg(F.max("rows").alias("rows"))
+    return newest.select(F.date_format("window_start", SECOND).alias("window_start"), "rows")
 
 
 @register("stream_latest_profile", "O-T7", sql("""

@@ -76,3 +76,13 @@ def test_upsert_overwrites_with_null(spark):
     new = spark.sql("select 't' tenant_id, 'v' web_visitor_id, 'r2' raw_profile_id, cast(null as string) email, timestamp_ntz'2024-01-02 00:00:00' received_at, 1 status_code")
     row = ingest.upsert_raw_profiles(old, new, "2024-01-03 00:00:00").first()
     assert (row.raw_profile_id, row.email, row.status_code, str(row.received_at)) == ("r1", None, 1, "2024-01-03 00:00:00")
+
+
+def test_window_counts_hold_the_newest_rows(spark):
+    """Every row of the input is in a count, those of the last 180 minutes too."""
+    from collections import Counter
+
+    from kinweave.catalog import QUERIES
+    want = Counter(r.ts.strftime("%Y-%m-%d %H:00:00") for r in spark.read.parquet(f"{SMALL}/events.parquet").select("ts").collect())
+    got = {r.window_start: r.rows for r in QUERIES["stream_window_counts"].run(spark, SMALL).collect()}
+    assert got == dict(want)
