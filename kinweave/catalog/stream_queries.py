@@ -34,14 +34,9 @@ def written(df, path: str):
 
 
 def run_to_end(df, path: str, mode: str):
-    """Run the available data through a Parquet sink, or the rows of every update through ``foreachBatch``."""
+    """Run the rows of every update of the available data through ``foreachBatch``."""
     writer = df.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-    if mode == "append":
-        query = writer.outputMode("append").format("parquet").start(f"{path}/out")
-    else:
-        query = writer.outputMode(mode).foreachBatch(
-            lambda b, i: store.append_upserts(b, f"{path}/out", i)).start()
-    query.awaitTermination()
+    writer.outputMode(mode).foreachBatch(lambda b, i: store.append_upserts(b, f"{path}/out", i)).start().awaitTermination()
     return df.sparkSession.read.schema(df.schema).parquet(f"{path}/out")
 
 
@@ -75,8 +70,8 @@ def _(c):
     path = folder(c)
     e = table_stream(c, "events")
     twice = e.union(e).withColumn("ts", F.col("ts").cast("timestamp"))
-    out = run_to_end(windows.stream_dedup(twice, "ts").select("event_id", "event_type"), path, "append")
-    return out.groupBy("event_type").agg(F.count("*").alias("events"))
+    windows.start_dedup(twice.select("event_id", "event_type", "ts"), "ts", path).awaitTermination()
+    return windows.first_copies(c.spark, path).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
 @register("stream_window_counts", "O-T6 O-R8", """
@@ -86,10 +81,8 @@ WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 180 MINUTE"
 def _(c):
     path = folder(c)
     e = table_stream(c, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    out = run_to_end(windows.windowed_counts(e, "ts", "1 hour"), path, "update")
-    # A window's count only grows, so the newest is the largest.
-    newest = out.groupBy("window_start").agg(F.max("rows").alias("rows"))
-    return newest.select(F.date_format("window_start", SECOND).alias("window_start"), "rows")
+    windows.start_windowed_counts(e, "ts", "1 hour", path).awaitTermination()
+    return windows.windowed_counts(c.spark, path).select(F.date_format("window_start", SECOND).alias("window_start"), "rows")
 
 
 @register("stream_latest_profile", "O-T7", sql("""

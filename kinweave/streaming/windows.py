@@ -1,21 +1,76 @@
-"""Event-time windows and duplicate removal on streams."""
+"""Event-time windows and duplicate removal on streams.
+
+Every micro-batch adds its own part to an append-only log: rows in time to ``on_time``, rows later than the watermark to ``late``.
+Readers merge both, so no row is dropped, however late it comes, and no state grows with the stream. A replayed batch
+overwrites its own folders.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinweave.streaming.store import append_upserts
+
 LATENESS = "180 minutes"
 
 
-def stream_dedup(events: DataFrame, ts: str, key: str = "event_id", lateness: str = LATENESS) -> DataFrame:
-    """First copy of each event id; the state forgets an id after the lateness."""
-    return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
+def _split_by_watermark(batch: DataFrame, batch_id: int, ts: str, path: str, lateness: str, part: Callable[[DataFrame], DataFrame]) -> None:
+    """Store ``part`` of the rows in time and of the late ones. The watermark is the newest time of earlier batches less the lateness."""
+    spark = batch.sparkSession
+    batch.persist()
+    try:
+        append_upserts(batch.agg(F.max(ts).alias("newest")), f"{path}/newest", batch_id)
+        newest = spark.read.option("basePath", f"{path}/newest").parquet(f"{path}/newest").where(F.col("batch") < batch_id)
+        floor = newest.agg((F.max("newest") - F.expr(f"INTERVAL {lateness}")).alias("floor"))
+        late = F.coalesce(F.col(ts) < F.col("floor"), F.lit(False))
+        marked = batch.crossJoin(F.broadcast(floor))
+        append_upserts(part(marked.where(~late).drop("floor")), f"{path}/on_time", batch_id)
+        append_upserts(part(marked.where(late).drop("floor")), f"{path}/late", batch_id)
+    finally:
+        batch.unpersist()
+
+
+def _start(events: DataFrame, ts: str, path: str, lateness: str, part: Callable[[DataFrame], DataFrame], trigger: dict | None):
+    return events.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(**(trigger or {"availableNow": True})).foreachBatch(
+        lambda batch, i: _split_by_watermark(batch, i, ts, path, lateness, part)).start()
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    """Parts of all batches with ``batch`` and ``late``."""
+    read = lambda name: spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}")
+    return read("on_time").withColumn("late", F.lit(False)).unionByName(read("late").withColumn("late", F.lit(True)))
 
 
-def windowed_counts(events: DataFrame, ts: str, size: str, slide: str | None = None, lateness: str = LATENESS,
-                    by: list[str] | None = None) -> DataFrame:
-    """Rows per time window (and further columns)."""
+def start_dedup(events: DataFrame, ts: str, path: str, key: str = "event_id", lateness: str = LATENESS, trigger: dict | None = None):
+    """Log the first copy of each key in every micro-batch; ``first_copies`` reads it."""
+    def part(rows: DataFrame) -> DataFrame:
+        order = F.struct(ts, *[c for c in rows.columns if c != ts])
+        return rows.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*rows.columns), order).alias("_row")).select("_row.*")
+    return _start(events, ts, path, lateness, part, trigger)
+
+
+def first_copies(spark: SparkSession, path: str, key: str = "event_id") -> DataFrame:
+    """One row per key: the copy of the earliest micro-batch, in time before late."""
+    log = _log(spark, path)
+    columns = [c for c in log.columns if c not in ("batch", "late")]
+    order = F.struct("batch", "late", *columns)
+    return log.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*columns), order).alias("_row")).select("_row.*")
+
+
+def start_windowed_counts(events: DataFrame, ts: str, size: str, path: str, slide: str | None = None, lateness: str = LATENESS,
+                          by: list[str] | None = None, trigger: dict | None = None):
+    """Log the rows per time window (and further columns) of every micro-batch; ``windowed_counts`` adds them."""
     window = F.window(ts, size, slide) if slide else F.window(ts, size)
-    return events.withWatermark(ts, lateness).groupBy(window.alias("w"), *(by or [])).agg(
-        F.count("*").alias("rows")).select(F.col("w.start").alias("window_start"), *(by or []), "rows")
+
+    def part(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(window.alias("w"), *(by or [])).agg(F.count("*").alias("rows")).select(
+            F.col("w.start").alias("window_start"), *(by or []), "rows")
+    return _start(events, ts, path, lateness, part, trigger)
+
+
+def windowed_counts(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
+    """Rows per window so far, open windows and late rows included."""
+    return _log(spark, path).groupBy("window_start", *(by or [])).agg(F.sum("rows").alias("rows"))

@@ -86,3 +86,38 @@ def test_window_counts_hold_the_newest_rows(spark):
     want = Counter(r.ts.strftime("%Y-%m-%d %H:00:00") for r in spark.read.parquet(f"{SMALL}/events.parquet").select("ts").collect())
     got = {r.window_start: r.rows for r in QUERIES["stream_window_counts"].run(spark, SMALL).collect()}
     assert got == dict(want)
+
+
+def test_late_rows_are_stored_apart_and_merged(spark, tmp_path):
+    """Several files out of time order, one per micro-batch: rows far behind the watermark stay in counts and events."""
+    import os
+    from collections import Counter
+    from datetime import datetime, timedelta
+
+    from kinweave.streaming import windows
+    start, rows = datetime(2024, 1, 1), []
+    for file, day in enumerate((9, 3, 12, 1, 3)):
+        own = [(1000 * day + i, f"e{i % 3}", start + timedelta(days=day, minutes=7 * i)) for i in range(40)]
+        # Copies of the newest file's rows come in a late one again; one event has no time.
+        own += [(12_000 + i, f"e{i % 3}", start + timedelta(days=12, minutes=7 * i)) for i in range(5)] if file == 3 else []
+        own += [(77, "e9", None)] if file == 1 else []
+        rows += own
+        folder = str(tmp_path / "in")
+        spark.createDataFrame(own, "event_id long, event_type string, ts timestamp").coalesce(1).write.mode("append").parquet(folder)
+        for name in os.listdir(folder):
+            if name.endswith(".parquet") and not name.startswith("f"):
+                os.rename(f"{folder}/{name}", f"{folder}/f{file}.parquet")
+                os.utime(f"{folder}/f{file}.parquet", (1_700_000_000 + 60 * file,) * 2)
+    stream = lambda: spark.readStream.schema("event_id long, event_type string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+    counts, events = str(tmp_path / "counts"), str(tmp_path / "events")
+    windows.start_windowed_counts(stream(), "ts", "1 hour", counts).awaitTermination()
+    windows.start_dedup(stream(), "ts", events).awaitTermination()
+    assert len({r.batch for r in spark.read.parquet(f"{counts}/newest").select("batch").collect()}) == 5
+    want = Counter(t.strftime("%Y-%m-%d %H") for _, _, t in rows if t)
+    assert {r.window_start.strftime("%Y-%m-%d %H"): r.rows for r in windows.windowed_counts(spark, counts).collect()} == dict(want)
+    got = windows.first_copies(spark, events).collect()
+    assert sorted(r.event_id for r in got) == sorted({e for e, _, _ in rows})
+    assert {(r.event_id, r.event_type) for r in got} == {(e, k) for e, k, _ in rows}
+    late = {r.event_id // 1000 for r in spark.read.parquet(f"{events}/late").collect()}
+    assert late == {12, 3, 1} and spark.read.parquet(f"{events}/on_time").where("event_id = 77").count() == 1
+    assert spark.read.parquet(f"{counts}/late").agg({"rows": "sum"}).first()[0] == 125
