@@ -121,3 +121,23 @@ def test_late_rows_are_stored_apart_and_merged(spark, tmp_path):
     late = {r.event_id // 1000 for r in spark.read.parquet(f"{events}/late").collect()}
     assert late == {12, 3, 1} and spark.read.parquet(f"{events}/on_time").where("event_id = 77").count() == 1
     assert spark.read.parquet(f"{counts}/late").agg({"rows": "sum"}).first()[0] == 125
+
+
+def test_ingest_counts_every_staging_row(spark):
+    """Staging rows with a visitor id made from the other identifying fields are counted as well."""
+    import duckdb
+
+    from check import TABLES
+    from kinweave.catalog import QUERIES
+    from kinweave.catalog.ingest_queries import wire_sql
+    from kinweave.catalog.sql import uuid5
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    made_up = uuid5("(w_tenant || 'obs' || 'shop.example.com' || w_version || w_phone || w_email)")
+    rows = wire_sql(f"""
+SELECT DISTINCT w_tenant, CASE WHEN trim(w_visid) = '' THEN {made_up} ELSE w_visid END AS id, k = 23 AS blank FROM wire
+WHERE outcome = 'accepted' AND k NOT IN (21, 22)""")
+    want = con.execute(f"SELECT count(*), count(*) FILTER (WHERE blank) FROM ({rows})").fetchone()
+    got = {r.outcome: r.events for r in QUERIES["stream_ingest"].run(spark, SMALL).collect()}
+    assert want[1] > 0 and got["staged"] == want[0]
