@@ -1,9 +1,12 @@
 """Plain loops that the operators are compared with. Rows are (doc_id, text) pairs or dictionaries of a small table."""
 
 import hashlib
+import itertools
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 
 def words(text):
@@ -32,7 +35,7 @@ def shingles(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def near_components(rows):
+def near_components(rows, percent=85):
     """{doc_id: (n_shingles, component_id, kept)}"""
     sets = {d: shingles(t) for d, t in rows}
     holders, common = defaultdict(list), Counter()
@@ -48,7 +51,7 @@ def near_components(rows):
         return d
 
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             lo, hi = sorted((top(a), top(b)))
             up[hi] = lo
     return {d: (len(s), top(d), top(d) == d) for d, s in sets.items()}
@@ -113,3 +116,74 @@ def best_path(word, scores, longest, byte_ids, unknown):
                 found = (s, best[start][1] + ([piece[0]] if piece else [byte_ids[b] for b in word[start].encode()]))
         best.append(found)
     return best[-1][1]
+
+
+def audit(rows, labels):
+    """{(part, order, step): (kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley)}; rows: (doc_id, text, part)."""
+    first, marks = {}, defaultdict(lambda: (False, False))
+    for d, t, _ in rows:
+        if d is not None:
+            first[t or ""] = min(d, first.get(t or "", d))
+    for d, q, x in labels:
+        if d is not None:
+            marks[d] = (marks[d][0] or q == 1, marks[d][1] or x == 1)
+    parts = defaultdict(list)
+    for d, t, part in rows:
+        t = t or ""
+        w = [x for x in re.split("[\x20\x09-\x0d]+", t) if x]
+        fails = {"A": len(w) < 100, "B": 100 * len(set(w)) < 80 * len(w), "C": 100 * sum("A" <= c <= "Z" for c in t) > 10 * len(t),
+                 "D": any(c in "#$%&*|" for c in t), "E": d is not None and first[t] < d}
+        parts[part or ""].append((fails, *marks[d]))
+    out, total = {}, Counter()
+    for part, docs in parts.items():
+        for order in itertools.permutations("ABCDE"):
+            left = list(docs)
+            for step, f in enumerate(order, 1):
+                gone, left = [x for x in left if x[0][f]], [x for x in left if not x[0][f]]
+                total[part, f] += len(gone)
+                out[part, "".join(order), step] = (
+                    len(left), len(gone), sum(x[0][f] for x in docs) - len(gone),
+                    sum(x[0][f] and sum(x[0].values()) == 1 for x in docs), sum(x[1] for x in gone), sum(x[2] for x in gone))
+    return {(p, o, s): (*v, total[p, o[s - 1]]) for (p, o, s), v in out.items()}
+
+
+def vector_codes(rows, parts=8, entries=16, rounds=6, scale=4096):
+    """[(vec_id, code, error, label_error, digest)] from (vec_id, vector, label) in plain integers."""
+    kept = [(i, v, label) for i, v, label in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not kept:
+        return []
+    width = max(1, -(-max(len(v) for _, v, _ in kept) // parts))
+    whole = [[math.floor(Fraction(x) * scale) for x in v] + [0] * (width * parts - len(v)) for _, v, _ in kept]
+    first = sorted(range(len(kept)), key=lambda k: (kept[k][0] is None, kept[k][0] or 0, kept[k][1]))[:entries]
+    cut = lambda v, p: v[p * width:(p + 1) * width]
+    books = [[cut(whole[k], p) for k in first] for p in range(parts)]
+
+    def nearest(v, p):
+        return min((sum((a - b) ** 2 for a, b in zip(cut(v, p), c)), e) for e, c in enumerate(books[p]))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for v in whole:
+            for p in range(parts):
+                members[p, nearest(v, p)[1]].append(cut(v, p))
+        for (p, e), m in members.items():
+            books[p][e] = [sum(x) // len(m) for x in zip(*m)]
+    digest = hashlib.sha256(",".join(str(x) for b in books for c in b for x in c).encode()).hexdigest()
+    found = [[nearest(v, p) for p in range(parts)] for v in whole]
+    errors, by_label, most = [sum(d for d, _ in f) for f in found], Counter(), (1 << 63) - 1
+    for (_, _, label), e in zip(kept, errors):
+        by_label[label] += min(e, most)
+    return [(i, "".join(f"{e:02x}" for _, e in f), min(err, most), min(by_label[label], most), digest)
+            for (i, _, label), f, err in zip(kept, found, errors)]
+
+
+def byte_shards(rows, shards):
+    """[(doc_id, size, crc, shard, slot)] from (doc_id, text): shards of the middle byte in id order."""
+    line = sorted(((d is None, d or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for d, t in rows))
+    total, before, slots, out = sum(x[3] for x in line), 0, Counter(), []
+    for none, d, crc, size in line:
+        shard = (2 * before + size) * shards // (2 * total)
+        out.append((None if none else d, size, crc, shard, slots[shard]))
+        slots[shard] += 1
+        before += size
+    return out

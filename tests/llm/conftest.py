@@ -7,7 +7,8 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 SMALL = "/root/testdata/sf0.001"
 COLUMNS = ("doc_id long, text string, lang string, source string, n_chars long, node long, block long, payload string, label string, "
-           "lang_pred string, score double, size long, h long, s string, root long, row long, text_key long, _id long, key string")
+           "lang_pred string, score double, size long, h long, s string, root long, row long, text_key long, _id long, key string, "
+           "_key string, _n long, _place long, _size long, _copies long, _copy long, own string, best long, stay long, mix string")
 
 
 @pytest.fixture(scope="session")
@@ -21,7 +22,8 @@ def save(spark, tmp_path_factory):
     """Store rows (doc_id, text, lang, source) with many more columns whose names the operators use themselves."""
     def run(rows):
         path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
-        full = [(d, t, lang, source, None if t is None else len(t), *[None] * 5, 0.5, 7, 7, "x", 7, 7, 7, 7, "k") for d, t, lang, source in rows]
+        full = [(d, t, lang, source, None if t is None else len(t), *[None] * 5, 0.5, 7, 7, "x", 7, 7, 7, 7, "k",
+                 "user", 9, 9, 9, 9, 9, f"own {k}", k, k, "m") for k, (d, t, lang, source) in enumerate(rows)]
         spark.createDataFrame(full, COLUMNS).write.parquet(path)
         return spark.read.parquet(path)
     return run
