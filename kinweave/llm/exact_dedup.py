@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from kinweave.llm.text import without_blanks
+from kinweave.llm.text import free_name, quoted, without_blanks
 from kinweave.plans.storage import materialize
 
 HEAVY = 1000
@@ -46,11 +46,16 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input without the rows that ``exact_dedup`` drops, all columns kept."""
-    won = exact_dedup(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumns({"_doc": F.col(doc_id), "_key": F.sha2(without_blanks(F.col(text)), 256),
-                              "_n": -F.length(F.coalesce(F.col(text), F.lit("")))})
-    marked = keyed.join(won, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha")))
+    """The input without the rows that ``exact_dedup`` drops, all columns kept as they are, whatever their names.
+
+    NULL texts count as empty, so one row without text stays; rows equal in id and text stay once; an empty table stays empty.
+    """
+    own, best = free_name(docs.columns, "own"), free_name(docs.columns, "best")
+    won = exact_dedup(docs, doc_id, text).where("kept").select(F.struct("doc_id", F.col("text_sha256").alias("sha")).alias(best))
+    about = F.struct(F.col(doc_id).alias("doc_id"), F.sha2(without_blanks(F.col(text)), 256).alias("sha"),
+                     (-F.length(F.coalesce(F.col(text), F.lit("")))).alias("n"))
+    marked = docs.withColumn(own, about).join(
+        won, F.col(f"{own}.doc_id").eqNullSafe(F.col(f"{best}.doc_id")) & (F.col(f"{own}.sha") == F.col(f"{best}.sha")))
     # An id that has one text several times won with its longest original; equal rows are interchangeable.
-    place = F.row_number().over(W.partitionBy("_id", "_sha").orderBy("_n"))
-    return marked.withColumn("_place", place).where("_place = 1").select(*docs.columns)
+    place = F.row_number().over(W.partitionBy(best).orderBy(f"{own}.n"))
+    return marked.withColumn(own, place).where(F.col(own) == 1).select(*quoted(docs.columns))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from kinweave.llm import blocks as B
+from kinweave.llm.text import free_name, quoted
 from kinweave.operators.components import connected_components
 from kinweave.plans.storage import materialize
 
@@ -253,7 +254,7 @@ def _packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 names=["doc_id", "text_key", "packed"])
 
     packed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, "doc_id long, text_key long, packed binary")
-    return packed.join(nodes, ["doc_id", "text_key"]).select("node", "packed")
+    return packed.dropDuplicates(["doc_id", "text_key"]).join(nodes, ["doc_id", "text_key"]).select("node", "packed")
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -308,9 +309,10 @@ def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """
     named = components(docs, doc_id, text, percent)
     first = named.where("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("f")).select("f.*")
-    stay = first.unionByName(named.where("root is null").select("doc_id", "text_key").distinct()).select(
-        F.struct(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).alias("_stay"))
-    keyed = docs.withColumns({"_id": F.col(doc_id).cast("long"), "_key": F.xxhash64(F.col(text))})
-    joined = keyed.join(stay, F.col("_id").eqNullSafe(F.col("_stay.id")) & (F.col("_key") == F.col("_stay.key")))
-    place = F.row_number().over(W.partitionBy("_stay").orderBy("_key"))
-    return joined.withColumn("_place", place).where("_place = 1").select(*docs.columns)
+    own, stay = free_name(docs.columns, "own"), free_name(docs.columns, "stay")
+    staying = first.unionByName(named.where("root is null").select("doc_id", "text_key").distinct()).select(
+        F.struct(F.col("doc_id").alias("id"), F.col("text_key").alias("key")).alias(stay))
+    keyed = docs.withColumn(own, F.struct(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("key")))
+    joined = keyed.join(staying, F.col(f"{own}.id").eqNullSafe(F.col(f"{stay}.id")) & (F.col(f"{own}.key") == F.col(f"{stay}.key")))
+    place = F.row_number().over(W.partitionBy(stay).orderBy(f"{own}.key"))
+    return joined.withColumn(own, place).where(F.col(own) == 1).select(*quoted(docs.columns))

@@ -26,3 +26,15 @@ def word_count(text: Column) -> Column:
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
+
+
+def free_name(columns: list[str], stem: str = "own") -> str:
+    """A column name that none of ``columns`` has, whatever the case; operators that keep all columns put their own into one struct of it."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def quoted(columns: list[str]) -> list[Column]:
+    return [F.col(f"`{c.replace('`', '``')}`") for c in columns]

@@ -58,10 +58,11 @@ class WordEncoder:
     def pieces(self, text: str) -> list[bytes]:
         """The words of a text, cut before their closing punctuation where that changes no id."""
         raw = text.encode()
-        plain = not any(s in raw for s in self.special)
-        words = (raw.lower() if plain and raw.isascii() else raw).split()
-        if not plain:
-            return words
+        if any(s in raw for s in self.special):
+            return raw.split()
+        # Lower case must not turn other text into a special string, which the tokenizer looks for before it lower-cases.
+        low = raw.lower() if raw.isascii() else raw
+        words = (raw if any(s in low for s in self.special) else low).split()
         out = []
         for w in words:
             if w[-1] in TAIL:

@@ -429,3 +429,46 @@ def test_sql(spark):
         df = queries.QUERIES[name](spark, SMALL)
         rel = con.execute(sql)
         assert rows_of(df.columns, df.collect()) == rows_of([d[0] for d in rel.description], rel.fetchall()), name
+
+
+def test_special_strings_in_other_cases():
+    """Only the exact special string is one id; what lower-casing would turn into one is ordinary text."""
+    path = tokenizers.path(queries.TOKENIZER)
+    from kinweave.llm.vocabulary import WordEncoder
+    tool = WordEncoder(path)
+    special = [t.decode() for t in tool.special]
+    texts = [f"{a}{s}{b}" for s in special for v in (s, s.upper(), s.title()) for a, b in (("", ""), ("A ", " b."), ("x", "Y"), ("One, ", "!"))
+             for s in (v,)]
+    ids, counts = tool.encode(texts)
+    stops = np.cumsum(counts)
+    for text, stop, n in zip(texts, stops, counts):
+        assert list(ids[stop - n:stop]) == tool.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_mixing_splits_rows_that_share_an_id(save):
+    """Rows without an id, and rows equal in everything, are taken one by one."""
+    rows = [(None, " ".join(f"w{k}" for _ in range(10)), "en", "a") for k in range(20)]
+    rows += [(5, "same " * 10, "en", "b")] * 30 + [(k, "own " * 7, "en", "c") for k in range(100, 150)]
+    docs = save(rows)
+    got, taken, target = mixing.mix_sources(docs.repartition(5)).collect(), defaultdict(int), {}
+    assert len(got) == 100
+    for r in got:
+        taken[r.target] += r.taken
+        target[r.target] = r.size
+    assert all(abs(t - n) <= size / 2 + 1e-6 for (t, n), size in zip(taken.items(), target.values()))
+    mixed = mixing.mixed(docs.repartition(3))
+    assert mixed.count() == sum(r.copies for r in got)
+    assert sorted(map(tuple, mixing.mix_sources(docs).collect()), key=repr) == sorted(map(tuple, got), key=repr)
+
+
+def test_near_of_many_equal_rows(save):
+    """Two near texts, each in hundreds of equal rows, are one pair of texts."""
+    base = [f"b{i}" for i in range(80)]
+    other = [*base[:79], "end"]
+    docs = save([(k % 2, " ".join(base if k % 2 else other), "en", "a") for k in range(600)])
+    nodes = minhash_dedup.near_duplicates(docs).collect()
+    assert len(nodes) == 600 and {r.component_id for r in nodes} == {0}
+    rows_ = docs.select("doc_id", "text")
+    sets = minhash_dedup.sketches(rows_)
+    keys = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"))
+    assert minhash_dedup._packed_texts(rows_, keys).count() == 2
