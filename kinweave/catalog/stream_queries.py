@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from kinweave.catalog.registry import register
-from kinweave.catalog.sql import sql
+from kinweave.catalog.sql import sql, uuid5
 from kinweave.catalog.ingest_queries import wire_sql
 from kinweave.operators import ingest
 from kinweave.plans.asof import micros
@@ -22,28 +22,31 @@ def folder(c) -> str:
     return f"{working_dir(c.spark)}/stream-{uuid.uuid4().hex}"
 
 
-def table_stream(c, name: str):
-    schema = c.table(name).schema
-    return c.spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(c.sf_dir)
-
-
 def written(df, path: str):
     """Store a derived table as files and read it as a stream."""
     df.write.parquet(f"{path}/source")
     return df.sparkSession.readStream.schema(df.schema).parquet(f"{path}/source")
 
 
-def run_to_end(df, path: str, mode: str):
-    """Run the rows of every update of the available data through ``foreachBatch``."""
-    writer = df.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True)
-    writer.outputMode(mode).foreachBatch(lambda b, i: store.append_upserts(b, f"{path}/out", i)).start().awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/out")
+def in_batches(df, path: str, part, order: tuple[int, ...]):
+    """Store a table in parts (the column ``part`` counts them from 0), one after the other in ``order``, and read it as a stream of that many
+    micro-batches: files are taken by age."""
+    for k in order:
+        df.where(part == k).write.mode("append").parquet(f"{path}/source")
+    files = len(df.sparkSession.read.schema(df.schema).parquet(f"{path}/source").inputFiles())
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", -(-files // len(order))).parquet(f"{path}/source")
+
+
+def weeks(ts):
+    """Part 0 to 3 by day of the month."""
+    return F.least(F.floor((F.dayofmonth(ts) - 1) / 8), F.lit(3))
 
 
 @register("stream_ingest", "O-T1 O-T2", wire_sql("""
 SELECT outcome, count(*) AS events FROM wire GROUP BY 1
-UNION ALL SELECT 'staged', count(*) FROM (SELECT DISTINCT w_tenant, CASE WHEN k = 23 THEN event_id ELSE w_visid END FROM wire
-  WHERE outcome = 'accepted' AND k NOT IN (21, 22, 23))"""))
+UNION ALL SELECT 'staged', count(*) FROM (SELECT DISTINCT w_tenant, CASE WHEN trim(w_visid) = '' THEN
+  """ + uuid5("(w_tenant || 'obs' || 'shop.example.com' || w_version || w_phone || w_email)") + """ ELSE w_visid END
+  FROM wire WHERE outcome = 'accepted' AND k NOT IN (21, 22))"""))
 def _(c):
     path = folder(c)
     stream = ingest.route_ingest(stream_ingest.parse_documents(written(c.wire().select("value", "k"), path)))
@@ -68,30 +71,43 @@ def _(c):
 @register("stream_distinct_events", "O-T5", "SELECT event_type, count(*) AS events FROM events GROUP BY 1")
 def _(c):
     path = folder(c)
-    e = table_stream(c, "events")
-    twice = e.union(e).withColumn("ts", F.col("ts").cast("timestamp"))
-    windows.start_dedup(twice.select("event_id", "event_type", "ts"), "ts", path).awaitTermination()
+    e = c.table("events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    # Every event comes twice, the second time with the part after; the parts are out of time order.
+    twice = e.withColumn("part", weeks("ts")).unionByName(e.withColumn("part", (weeks("ts") + 1) % 4))
+    stream = in_batches(twice, path, F.col("part"), (1, 3, 0, 2)).drop("part")
+    windows.start_dedup(stream, "ts", path).awaitTermination()
     return windows.first_copies(c.spark, path).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
+def _counts(c, size: str, slide: str | None = None):
+    path = folder(c)
+    e = c.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    windows.start_windowed_counts(in_batches(e, path, weeks("ts"), (1, 3, 0, 2)), "ts", size, path, slide).awaitTermination()
+    return windows.windowed_counts(c.spark, path).select(F.date_format("window_start", SECOND).alias("window_start"), "rows")
+
+
 @register("stream_window_counts", "O-T6 O-R8", """
 WITH b AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS w, count(*) AS rows FROM events GROUP BY 1)
-SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, rows FROM b
-WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 180 MINUTE""")
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, rows FROM b""")
 def _(c):
-    path = folder(c)
-    e = table_stream(c, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    windows.start_windowed_counts(e, "ts", "1 hour", path).awaitTermination()
-    return windows.windowed_counts(c.spark, path).select(F.date_format("window_start", SECOND).alias("window_start"), "rows")
+    return _counts(c, "1 hour")
+
+
+@register("stream_sliding_counts", "O-T6", """
+WITH b AS (SELECT time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 6 HOUR * unnest(range(4)) AS w FROM events)
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS rows FROM b GROUP BY 1""")
+def _(c):
+    return _counts(c, "24 hours", "6 hours")
 
 
 @register("stream_latest_profile", "O-T7", sql("""
 SELECT tenant_id, visid, arg_max(metric, (ts, metric)) AS metric FROM acc GROUP BY 1, 2"""))
 def _(c):
     path = folder(c)
-    events = written(c.accepted().select("tenant_id", "visid", micros("ts").alias("at"), "metric"), path)
-    out = run_to_end(state.latest_profile_state(events), path, "update")
-    return out.groupBy("tenant_id", "visid").agg(F.max_by("metric", F.struct("at", "metric")).alias("metric"))
+    rows = c.accepted().select("tenant_id", "visid", micros("ts").alias("at"), "metric", weeks("ts").alias("part"))
+    changes = state.latest_profile_state(in_batches(rows, path, F.col("part"), (1, 3, 0, 2)))
+    state.start_upserts(changes, path).awaitTermination()
+    return store.current(c.spark, f"{path}/out", ["tenant_id", "visid"], changes.schema).select("tenant_id", "visid", "metric")
 
 
 @register("stream_conversation_memory", "O-T8", """
@@ -99,6 +115,8 @@ SELECT conv_id, string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) AS turns FR
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn <= 10 GROUP BY 1""")
 def _(c):
     path = folder(c)
-    out = run_to_end(state.conversation_memory_stream(table_stream(c, "conversations")), path, "update")
-    newest = out.groupBy("conv_id").agg(F.max_by("turns", F.element_at("turns", -1)).alias("turns"))
+    turns = in_batches(c.table("conversations"), path, F.pmod(F.col("turn"), F.lit(3)), (1, 0, 2))
+    changes = state.conversation_memory_stream(turns)
+    state.start_upserts(changes, path).awaitTermination()
+    newest = store.current(c.spark, f"{path}/out", ["conv_id"], changes.schema)
     return newest.select("conv_id", F.array_join("turns", ",").alias("turns"))

@@ -16,7 +16,7 @@ def append_upserts(df: DataFrame, path: str, batch_id: int) -> None:
 
 def current(spark: SparkSession, path: str, keys: list[str], schema, before: int | None = None) -> DataFrame:
     """Newest row per key; an empty table before the first batch. ``before`` leaves out that batch and later ones."""
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
     log = spark.read.option("basePath", path).schema(_with_batch(schema)).parquet(path)
     if before is not None:
@@ -36,6 +36,6 @@ def _with_batch(schema):
     return T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
