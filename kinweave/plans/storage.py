@@ -9,9 +9,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Fixed value: Spark's setting for removing the shuffle files of a finished query.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -28,8 +33,20 @@ def working_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that end inside remove their shuffle files at once, not when the driver happens to collect garbage."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a DataFrame once and read it back."""
     path = f"{working_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -133,7 +133,7 @@ def test_late_rows_are_stored_apart_and_merged(spark, tmp_path):
     assert sorted(r.event_id for r in got) == sorted({e for e, _, _ in rows})
     assert {(r.event_id, r.event_type) for r in got} == {(e, k) for e, k, _ in rows}
     late = {r.event_id // 1000 for r in spark.read.parquet(f"{events}/late").collect()}
-    assert late == {0, 1, 3, 12} and spark.read.parquet(f"{counts}/late").agg({"rows": "sum"}).first()[0] > 80
+    assert late == {0, 1, 3, 12} and spark.read.parquet(f"{counts}/late").agg({"rows": "sum"}).first()[0] >= 80
     # Copies in time met their key in the state.
     assert spark.read.parquet(f"{events}/on_time").groupBy("event_id").count().where("count > 1").isEmpty()
 
