@@ -30,6 +30,8 @@ WORD = re.compile(" +[^ ]*|[^ ]+")
 LITERAL = "\x00" + BLANK
 #: Partitions of the lattice per shuffle partition, so that a partition's edges are grouped in memory, and shards per partition.
 FINER, SHARDS = 6, 2
+#: First characters by which the pieces that may begin at a place are told apart.
+HEAD = 3
 
 
 @dataclass
@@ -152,11 +154,17 @@ def _read_words(data: bytes) -> list[str]:
     return [data[stop - n:stop].decode() for stop, n in zip(stops.tolist(), sizes.tolist())]
 
 
-def best_paths(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(shard, place, path) of words (shard, place, word): piece ids, or ``-1 - start`` for a character without a piece."""
+def best_paths(words: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(shard, place, path) of words (shard, place, word): piece ids, or ``-1 - start`` for a character without a piece.
+
+    Substrings are exploded from every start as far as the longest piece with the same first ``HEAD`` characters reaches; longer ones are
+    in no piece.
+    """
     starts = words.select("shard", "place", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    parts = starts.select("shard", "place", "word", "start", F.explode(
-        F.sequence(F.lit(1), F.least(F.lit(longest), F.length("word") - F.col("start")))).alias("n"))
+    reach = pieces.where(F.length("piece") >= HEAD).groupBy(F.substring("piece", 1, HEAD).alias("head")).agg(F.max(F.length("piece")).alias("reach"))
+    headed = starts.withColumn("head", F.expr(f"substring(word, start + 1, {HEAD})")).join(F.broadcast(reach), "head", "left")
+    parts = headed.select("shard", "place", "word", "start", F.explode(F.sequence(F.lit(1), F.least(
+        F.coalesce("reach", F.lit(HEAD - 1)), F.length("word") - F.col("start")))).alias("n"))
     edges = parts.select("shard", "place", "start", "n", F.expr("substring(word, start + 1, n)").alias("piece")).join(
         F.broadcast(pieces), "piece", "left").where("id is not null or n = 1")
     edge = F.struct((F.col("start") + F.col("n")).alias("stop"), "start", F.coalesce("score", F.lit(UNKNOWN_SCORE)).alias("score"),
@@ -246,10 +254,11 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
         return pa.table({"doc_id": table.column("doc_id"), "n_tokens": pa.array(np.diff(upto)), "ids": pa.chunked_array(
             [pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat[take], pa.int32()))])})
 
-    requests = B.ask(packed, request)
+    # One exchange by shard for the distinct words and for the answers; both read it in the same partitions.
+    requests = B.ask(packed, request).repartition(parts, "shard")
     # Dealt by shard again, as Spark does not see that the function keeps it: edges, paths and answers then need no exchange.
     words = requests.groupBy("shard").applyInArrow(distinct, "shard int, place int, word string").repartition(parts, "shard")
-    paths = best_paths(words, pieces.table(spark), pieces.longest)
+    paths = best_paths(words, pieces.table(spark))
     replies = requests.groupBy("shard").cogroup(paths.groupBy("shard")).applyInArrow(reply, B.REPLY)
     kind = dict(rows.dtypes)["doc_id"]
     return B.finish(packed, replies, last, f"doc_id {kind}, n_tokens long, ids array<int>")
