@@ -24,7 +24,8 @@ PAIR = (1 << 32) + 1
 
 def _equal_lane(paragraphs: Column, k: int) -> Column:
     def bits(p: Column) -> Column:
-        hashed = F.xxhash64(p, F.lit(k // 2))
+        # The lane's number seeds the hash of the paragraph, so paragraphs that meet in one pair of lanes do not meet in the others.
+        hashed = F.xxhash64(F.lit(k // 2), p)
         return F.shiftrightunsigned(hashed, 32) if k % 2 else hashed.bitwiseAND(F.lit(MODULUS - 1))
 
     return F.aggregate(paragraphs, F.lit(0).cast("long"), lambda total, p: (total + bits(p)) % MODULUS)

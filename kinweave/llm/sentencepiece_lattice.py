@@ -170,16 +170,60 @@ def best_paths(words: DataFrame, pieces: DataFrame) -> DataFrame:
     edge = F.struct((F.col("start") + F.col("n")).alias("stop"), "start", F.coalesce("score", F.lit(UNKNOWN_SCORE)).alias("score"),
                     F.coalesce("id", -1 - F.col("start")).alias("code"))
     lattice = edges.groupBy("shard", "place").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    # best: the best path to every position reached so far; edges come by their end, so only the last one can still improve.
+    # best: the best path to every position before ``stop``; top: the best one to ``stop`` so far. Edges come by their end, so a position
+    # is closed once and only the path to the current end changes.
     return lattice.selectExpr("shard", "place", """
-        element_at(aggregate(edges,
-            array(named_struct('score', 0D, 'path', cast(array() as array<int>))),
-            (best, e) -> if(e.stop = size(best),
-                concat(best, array(named_struct('score', best[e.start].score + e.score, 'path', concat(best[e.start].path, array(e.code))))),
-                if(best[e.start].score + e.score > best[e.stop].score,
-                    concat(slice(best, 1, e.stop),
-                           array(named_struct('score', best[e.start].score + e.score, 'path', concat(best[e.start].path, array(e.code))))),
-                    best))), -1).path as path""")
+        aggregate(edges,
+            named_struct('best', slice(array(named_struct('score', 0D, 'path', cast(array() as array<int>))), 1, 0), 'stop', 0,
+                         'top', named_struct('score', 0D, 'path', cast(array() as array<int>))),
+            (s, e) -> if(e.stop = s.stop,
+                if(s.best[e.start].score + e.score > s.top.score,
+                    named_struct('best', s.best, 'stop', s.stop, 'top', named_struct(
+                        'score', s.best[e.start].score + e.score, 'path', concat(s.best[e.start].path, array(e.code)))),
+                    s),
+                named_struct('best', concat(s.best, array(s.top)), 'stop', e.stop, 'top', if(e.start = s.stop,
+                    named_struct('score', s.top.score + e.score, 'path', concat(s.top.path, array(e.code))),
+                    named_struct('score', s.best[e.start].score + e.score, 'path', concat(s.best[e.start].path, array(e.code)))))),
+            s -> s.top.path) as path""")
+
+
+def _cut_block(table: pa.Table, cut: Cutter, shards: int) -> bytes:
+    """A block as its distinct words, by shard, and every document's places among them; the place behind the last is the literal mark."""
+    place: dict[str, int] = {}
+    counts = np.zeros(table.num_rows, np.int64)
+    at: list[int] = []
+    for k, text in enumerate(table.column("text").to_pylist()):
+        words = words_of(text, cut)
+        counts[k] = len(words)
+        at.extend([place.setdefault(w, len(place)) for w in words])
+    mark = place.pop(LITERAL, None)
+    names = list(place)
+    shard = (B.word_hashes([w.encode() for w in names])[:, 0] % np.uint64(shards)).astype(np.int64)
+    order = sorted(range(len(names)), key=lambda k: (shard[k], names[k]))
+    rank = np.full(len(names) + (mark is not None), len(names), np.int64)
+    old = np.fromiter(place.values(), np.int64, len(names))
+    rank[old[order]] = np.arange(len(names))
+    kind = "<u2" if len(names) < 1 << 16 else "<u4"
+    ids = pa.BufferOutputStream()
+    docs = pa.table({"doc_id": table.column("doc_id"), "n": pa.array(counts)})
+    with pa.ipc.new_stream(ids, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(docs.combine_chunks())
+    parts = [ids.getvalue().to_pybytes(), zstandard.compress(B.to_bytes(shard[order].astype("<u4")), 1), _write_words([names[k] for k in order]),
+             zstandard.compress(B.to_bytes(rank[np.array(at, np.int64)].astype(kind)), 3)]
+    return np.array([len(p) for p in parts], "<i8").tobytes() + kind.encode() + b"".join(parts)
+
+
+def _open_block(payload) -> tuple[pa.Table, np.ndarray, list[str], np.ndarray]:
+    """(documents with their number of words, shard of each word, words, places of all documents' words)."""
+    data = bytes(payload)
+    sizes, kind, at = np.frombuffer(data, "<i8", 4), data[32:35].decode(), 35
+    parts = []
+    for n in sizes.tolist():
+        parts.append(data[at:at + n])
+        at += n
+    (shard,) = B.from_bytes(zstandard.decompress(parts[1]), "<u4")
+    (places,) = B.from_bytes(zstandard.decompress(parts[3]), kind)
+    return pa.ipc.open_stream(parts[0]).read_all(), shard.astype(np.int64), _read_words(parts[2]), places
 
 
 def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,18 +235,26 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     parts = FINER * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = SHARDS * parts
-    packed = B.pack(rows)
     byte_ids = np.array(pieces.bytes, np.int64)
     cut = Cutter(pieces)
 
-    def request(_, table):
-        found = set()
-        for t in table.column("text").to_pylist():
-            found.update(words_of(t, cut))
-        words = sorted(found - {LITERAL})
-        shard = (B.word_hashes([w.encode() for w in words])[:, 0] % np.uint64(shards)).astype(np.int64)
-        for s, (own,) in B.split_by(shard, np.array(words, object)):
-            yield s, _write_words(own.tolist())
+    def cut_blocks(batches):
+        for batch in batches:
+            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_cut_block(B.unpack(payload.as_buffer()), cut, shards)], pa.binary())],
+                                                 names=["block", "payload"])
+
+    # Texts are cut into words once; blocks hold the words and their places from then on.
+    packed = B.pack(rows, exchange=False).mapInArrow(cut_blocks, "block long, payload binary").repartition("block")
+
+    def request(batches):
+        for batch in batches:
+            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
+                _, shard, words, _ = _open_block(payload.as_buffer())
+                found = list(B.split_by(shard, np.array(words, object)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([s for s, _ in found], pa.int32()), pa.array([block] * len(found), pa.int64()),
+                    pa.array([_write_words(own.tolist()) for _, (own,) in found], pa.binary())], names=["shard", "block", "data"])
 
     def distinct(table: pa.Table) -> pa.Table:
         words = sorted(set().union(*map(_read_words, table.column("data").to_pylist())))
@@ -228,40 +280,37 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
                 np.array([len(g) for g in got], "<u2")) + np.concatenate(got).astype("<u2" if pieces.size <= 1 << 16 else "<u4").tobytes(), 1))
         return pa.table({"block": blocks, "data": pa.array(data, pa.binary())})
 
-    def last(table, answers):
-        texts = [words_of(t, cut) for t in table.column("text").to_pylist()]
-        words = sorted(set().union(*texts) - {LITERAL})
-        shard = (B.word_hashes([w.encode() for w in words])[:, 0] % np.uint64(shards)).astype(np.int64)
-        sizes, ids = np.zeros(len(words) + 1, np.int64), {}
+    def last(left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.concat_tables([put_together(p.as_buffer(), right.column("data").to_pylist()) for p in left.column("payload")])
+
+    def put_together(payload, answers) -> pa.Table:
+        docs, shard, _, at = _open_block(payload)
+        sizes, ids = np.zeros(len(shard) + 1, np.int64), {}
         for a in map(zstandard.decompress, answers):
             (s,) = B.from_bytes(a, "<i8")
             (n,) = B.from_bytes(a[16:], "<u2")
-            sizes[:-1][shard == s[0]] = n
+            lo = np.searchsorted(shard, s[0])
+            sizes[lo:lo + len(n)] = n
             ids[int(s[0])] = np.frombuffer(a, "<u2" if pieces.size <= 1 << 16 else "<u4", -1, 24 + 2 * len(n))
         sizes[-1] = 3
-        # Answers lie shard by shard; starts say where each word's ids begin.
-        order = np.argsort(shard, kind="stable")
+        # Words lie by shard, and so do the answers.
         flat = np.concatenate([*[ids[s] for s in sorted(ids)], byte_ids[list(BLANK.encode())]]).astype(np.int32)
-        starts = np.zeros(len(words) + 1, np.int64)
-        starts[:-1][order] = np.cumsum(sizes[:-1][order]) - sizes[:-1][order]
-        starts[-1] = len(flat) - 3
-        place = {w: k for k, w in enumerate(words)} | {LITERAL: len(words)}
-        at = np.fromiter((place[w] for t in texts for w in t), np.int64)
+        starts = np.cumsum(sizes) - sizes
         n = sizes[at]
         ends = np.cumsum(n)
         take = np.repeat(starts[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(t) for t in texts])])]
-        return pa.table({"doc_id": table.column("doc_id"), "n_tokens": pa.array(np.diff(upto)), "ids": pa.chunked_array(
+        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(docs.column("n").to_numpy())])]
+        return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": pa.array(np.diff(upto)), "ids": pa.chunked_array(
             [pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat[take], pa.int32()))])})
 
     # One exchange by shard for the distinct words and for the answers; both read it in the same partitions.
-    requests = B.ask(packed, request).repartition(parts, "shard")
+    requests = packed.mapInArrow(request, B.REQUEST).repartition(parts, "shard")
     # Dealt by shard again, as Spark does not see that the function keeps it: edges, paths and answers then need no exchange.
     words = requests.groupBy("shard").applyInArrow(distinct, "shard int, place int, word string").repartition(parts, "shard")
     paths = best_paths(words, pieces.table(spark))
     replies = requests.groupBy("shard").cogroup(paths.groupBy("shard")).applyInArrow(reply, B.REPLY)
     kind = dict(rows.dtypes)["doc_id"]
-    return B.finish(packed, replies, last, f"doc_id {kind}, n_tokens long, ids array<int>")
+    return packed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(last, f"doc_id {kind}, n_tokens long, ids array<int>")
 
 
 def decode(ids: Column, pieces: Pieces) -> Column:

@@ -76,6 +76,38 @@ def edits(rows):
     return out
 
 
+def fingerprint(text):
+    """(hex digits, likeness lanes): sums over paragraphs modulo 2**32, the seeds of Spark's chained hash written out."""
+    import xxhash
+
+    def chain(*parts):
+        seed = 42
+        for p in parts:
+            seed = xxhash.xxh64_intdigest(p, seed)
+        return seed
+
+    equal, lanes = [0] * 8, [0] * 64
+    for p in text.split("\n"):
+        for k in range(8):
+            h = chain((k // 2).to_bytes(4, "little"), p.encode())
+            equal[k] += h >> 32 if k % 2 else h & 0xFFFFFFFF
+        w = [x.encode() for x in re.split("[\x20\x09-\x0d]+", p)]
+        for run in [w[i:i + 3] for i in range(len(w) - 2)] or [[b" ".join(w)]]:
+            h = chain(*run)
+            # Lane k counts bit k, lane 32 + k the bit 32 above it.
+            for k in range(32):
+                lanes[k] += 1 if h >> k & 1 else -1
+                lanes[32 + k] += 1 if h >> (k + 32) & 1 else -1
+    return "".join(f"{v % 2**32:08X}" for v in equal + lanes), lanes
+
+
+def likeness(a, b):
+    if a == b:
+        return 1.0
+    lengths = sum(x * x for x in a) + sum(x * x for x in b)
+    return min(1.0, max(0.0, 2 * sum(x * y for x, y in zip(a, b)) / lengths)) if lengths else 0.0
+
+
 def targets(sizes, cap=3):
     """{source: target} from {source: size}, sharing the excess again until none is above."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))

@@ -286,6 +286,15 @@ def test_fingerprints_small(spark, small):
     assert len({r.fingerprint for r in got}) == len({text[r.doc_id] for r in got})
     assert all(0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 for r in got)
     assert np.mean([r.near_edited > r.near_next for r in got]) > 0.9
+    line = sorted(text.items(), reverse=True)
+    own = {d: brute.fingerprint(t) for d, t in line}
+    for k, (d, t) in enumerate(line):
+        after, half = line[(k + 1) % len(line)], len(t) // 2
+        edited = brute.fingerprint(t[:len(t) - half] + after[1][:half])
+        r = next(r for r in got if r.doc_id == d)
+        assert (r.fingerprint, r.edited_fingerprint) == (own[d][0], edited[0])
+        assert r.near_edited == pytest.approx(brute.likeness(own[d][1], edited[1]))
+        assert r.near_next == pytest.approx(brute.likeness(own[d][1], own[after[0]][1]))
 
 
 def test_fingerprints_are_sums_over_paragraphs(spark, save):
