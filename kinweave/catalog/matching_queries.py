@@ -115,7 +115,20 @@ def _(c):
     return similarity.trigram_match(raw, masters, 0.5).select("raw_profile_id", "master_profile_id", F.round("measure", 6).alias("measure"))
 
 
-@register("phonetic_name_match", "O-I8")
+def soundex_sql(text: str) -> str:
+    """American Soundex spelled out: H and W are skipped, other characters without a code part equal codes."""
+    codes = f"translate(regexp_replace(upper({text}), '[^A-Z]', 'A', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+    runs = f"(CASE WHEN left({codes}, 1) = '7' THEN '0' ELSE left({codes}, 1) END || replace(substr({codes}, 2), '7', ''))"
+    for d in range(7):
+        runs = f"regexp_replace({runs}, '{d}+', '{d}', 'g')"
+    return f"CASE WHEN regexp_matches({text}, '^[A-Za-z]') THEN upper(left({text}, 1)) || rpad(left(replace(substr({runs}, 2), '0', ''), 3), 3, '0') ELSE {text} END"
+
+
+@register("phonetic_name_match", "O-I8", f"""
+WITH r AS (SELECT p_partkey, {soundex_sql("p_name")} AS code, p_size FROM part WHERE p_name <> ''),
+m AS (SELECT code, min(p_partkey) AS k FROM r WHERE p_size > 25 GROUP BY 1)
+SELECT CAST(p_partkey AS VARCHAR) AS raw_profile_id, CAST(k AS VARCHAR) AS master_profile_id, 'phonetic_soundex' AS attribute
+FROM r JOIN m USING (code) WHERE p_size <= 25""")
 def _(c):
     raw, masters = part_names(c)
     return matching.phonetic_match(raw, masters).select("raw_profile_id", "master_profile_id", "attribute")

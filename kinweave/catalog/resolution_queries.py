@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from kinweave.catalog.context import RULES
 from kinweave.catalog.registry import register
-from kinweave.catalog.sql import sql, ts
+from kinweave.catalog.sql import ORDERED, ordered, sql, ts, uuid5
 from kinweave.operators import jobs, reports, resolution
 from kinweave.plans.tables import AS_OF
+from kinweave.streaming.resolve import ResolutionStore
 
 SECOND = "yyyy-MM-dd HH:mm:ss"
 
@@ -27,7 +28,9 @@ def _(c):
     return c.links().select("raw_profile_id", "master_profile_id", "link_id", "match_rule")
 
 
-@register("ordered_resolution", "O-I14")
+@register("ordered_resolution", "O-I14", sql(ORDERED + """
+SELECT rid AS raw_profile_id, mid AS master_profile_id, CASE WHEN seq = root THEN 'NewMaster' ELSE 'DynamicMatch' END AS match_rule,
+  how AS matched_attribute FROM omem"""))
 def _(c):
     return c.sequential().links.select("raw_profile_id", "master_profile_id", "match_rule", "matched_attribute")
 
@@ -38,6 +41,19 @@ def _(c):
         "ext_attributes", "preferred_communication", "crm_contact_ids", "social_user_ids")
 
 
+@register("ordered_golden_values", "O-I14 O-M1 O-M2 O-M6", sql(ORDERED + """
+SELECT mid AS master_profile_id, tenant_id, email, phone_number, last_name, city, source_systems, first_rid AS first_seen_raw_profile_id FROM omast"""))
+def _(c):
+    return c.keep("ordered_golden", lambda: resolution.golden_tables(c.sequential(), AS_OF)[0]).select(
+        "master_profile_id", "tenant_id", "email", "phone_number", "last_name", "city", F.array_join("source_systems", ",").alias("source_systems"),
+        "first_seen_raw_profile_id")
+
+
+@register("ordered_identifiers", "O-I14 O-M3", sql(ORDERED + "SELECT * FROM oval"))
+def _(c):
+    return c.keep("ordered_values", lambda: resolution.golden_tables(c.sequential(), AS_OF)[1]).select("master_profile_id", "kind", "value")
+
+
 @register("incremental_clusters", "O-I15 O-I19", sql("""
 , two AS (
   SELECT 'r' || rid AS node, received_at AS at, tenant_id, rid FROM latr
@@ -97,7 +113,13 @@ def _(c):
     return _incremental(c)[0].select("master_profile_id", F.explode("crm_contact_ids").alias("source_system", "crm_id"))
 
 
-@register("ordered_incremental", "O-I14 O-I19 O-I22")
+@register("ordered_incremental", "O-I14 O-I19 O-I22", sql(ordered("""
+  SELECT row_number() OVER (ORDER BY NOT is_prior, at, id) AS seq, * EXCLUDE (at) FROM (
+    SELECT true AS is_prior, mid AS id, tenant_id, nullif(lower(email), '') AS e, nullif(phone_number, '') AS p, created_at AS at FROM prior
+    UNION ALL SELECT false, rid, tenant_id, nullif(lower(email), ''), nullif(phone_number, ''), received_at FROM latr)""") + f"""
+SELECT o.id AS raw_profile_id, CASE WHEN f.is_prior THEN f.id ELSE {uuid5("f.tenant_id || ':' || f.id")} END AS master_profile_id,
+  CASE WHEN o.seq = o.root THEN 'NewMaster' ELSE 'DynamicMatch' END AS match_rule, o.how AS matched_attribute
+FROM olink o JOIN olink f ON f.seq = o.root WHERE NOT o.is_prior"""))
 def _(c):
     _, late = c.early_late()
     res = c.keep("ordered_incremental", lambda: jobs.resolve_all_pending(late, c.prior_masters(), None, AS_OF))
@@ -153,6 +175,47 @@ def _(c):
     return jobs.backfill_windows(resolution.pending_raw(c.raw()), "2024-01-30 18:00:00", 3600, 48)
 
 
+@register("backfilled_links", "O-I20 O-I19", sql("""
+, w AS (SELECT *, CAST(ceil(date_diff('microsecond', received_at, TIMESTAMP '2024-01-30 18:00:00') / 86400000000.0::DOUBLE) - 1 AS BIGINT) AS window_index
+  FROM raw WHERE received_at < TIMESTAMP '2024-01-30 18:00:00' AND received_at >= TIMESTAMP '2024-01-30 18:00:00' - INTERVAL 4 DAY),
+bkey AS (SELECT i.* FROM idkey i JOIN w USING (rid)),
+bedge AS (SELECT DISTINCT x.rid AS a, y.rid AS b FROM bkey x JOIN bkey y USING (tenant_id, rule_id, value)),
+breach(a, b) AS (SELECT rid, rid FROM w UNION SELECT r.a, e.b FROM breach r JOIN bedge e ON e.a = r.b),
+broot AS (SELECT a AS rid, b AS root FROM (SELECT r.a, r.b, row_number() OVER (PARTITION BY r.a ORDER BY o.received_at, r.b) AS rn
+  FROM breach r JOIN w o ON o.rid = r.b) WHERE rn = 1)
+SELECT window_index, count(*) AS processed, count(*) FILTER (WHERE rid = root) AS new_masters, count(*) FILTER (WHERE rid <> root) AS joined
+FROM w JOIN broot USING (rid) GROUP BY 1"""))
+def _(c):
+    return jobs.backfill(c.raw(), None, None, "2024-01-30 18:00:00", 86_400, 4, AS_OF, "transitive", rules=RULES)[1]
+
+
+@register("ledger_after_run", "O-I18 O-I19", sql(f"""
+, s AS (SELECT unnest([0, 1, 2]) AS k),
+w AS (SELECT DISTINCT tenant_id, k, TIMESTAMP '2024-01-01' + to_days(10 * k) AS f, TIMESTAMP '2024-01-11' + to_days(10 * k) AS e FROM raw, s),
+n AS (SELECT tenant_id, CAST(floor(date_diff('day', DATE '2024-01-01', received_at) / 10) AS INTEGER) AS k, count(*) AS n FROM raw GROUP BY 1, 2)
+SELECT w.tenant_id, {ts('f')} AS from_ts, {ts('e')} AS to_ts, CASE WHEN w.tenant_id = 't0' AND k = 0 THEN 7 ELSE coalesce(n, 0) END AS processed_count,
+  'success' AS job_status FROM w LEFT JOIN n USING (tenant_id, k)"""))
+def _(c):
+    """A ledger that already has one successful window and one failed one, after a run over all windows."""
+    from kinweave.operators import runs
+    from kinweave.catalog.stream_queries import folder
+    path = folder(c)
+    day = lambda k: F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(k)
+    k = F.explode(F.array(*[F.lit(10 * i) for i in range(3)]))
+    windows = c.raw().select("tenant_id").distinct().select("tenant_id", k.alias("k")).select(
+        "tenant_id", day(F.col("k")).alias("data_from_datetime"), day(F.col("k") + 10).alias("data_to_datetime"))
+    ledger, store = runs.RunLedger(c.spark, f"{path}/ledger"), ResolutionStore(c.spark, f"{path}/store", c.raw().schema)
+    first = windows.where("data_from_datetime = timestamp_ntz'2024-01-01 00:00:00'")
+    for run, tenant, status, count in ((0, "t0", "success", 7), (1, "t1", "failed", 0)):
+        own = first.where(F.col("tenant_id") == tenant)
+        ledger.start(run, own, "2024-01-30 00:00:00")
+        ledger.end(run, own.withColumn("processed_count", F.lit(count).cast("long")), status, "2024-01-30 00:00:00")
+    runs.run_planned(ledger, store, c.raw(), windows, AS_OF)
+    return ledger.rows().where("job_status = 'success'").select(
+        "tenant_id", F.date_format("data_from_datetime", SECOND).alias("from_ts"), F.date_format("data_to_datetime", SECOND).alias("to_ts"),
+        "processed_count", "job_status")
+
+
 @register("run_differences", "O-I21", sql("""
 , a AS (SELECT rid, mid AS ma FROM link), b AS (SELECT rid, sha256(lower(coalesce(email, visid)) || tenant_id) AS mb FROM raw WHERE d <> 3),
 cells AS (SELECT ma, mb, count(*) AS n FROM a FULL OUTER JOIN b USING (rid) GROUP BY 1, 2),

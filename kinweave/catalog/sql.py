@@ -162,5 +162,42 @@ WITH RECURSIVE src AS (
 """
 
 
+def ordered(rows: str) -> str:
+    """Views of the row-by-row process over ``rows`` (seq from 1, is_prior, id, tenant_id, e, p): one step of the recursion per row.
+
+    ``olink``: seq, id, tenant_id, is_prior, root (seq of the founder), how.
+    """
+    same = "lambda m: m.t = r.tenant_id AND m.{0} = r.{0}"
+    return f""", orow AS ({rows}), orun(seq, root, how, masters) AS (
+  SELECT CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST([] AS STRUCT(root BIGINT, t VARCHAR, e VARCHAR, p VARCHAR)[])
+  UNION ALL SELECT seq, coalesce(by_e, by_p, seq), CASE WHEN by_e IS NOT NULL THEN 'email' WHEN by_p IS NOT NULL THEN 'phone_number' ELSE 'new' END,
+    CASE WHEN by_e IS NULL AND by_p IS NULL THEN list_append(masters, {{'root': seq, 't': tenant_id, 'e': e, 'p': p}})
+      ELSE list_transform(masters, lambda m: CASE WHEN m.root = coalesce(by_e, by_p)
+        THEN {{'root': m.root, 't': m.t, 'e': coalesce(m.e, e), 'p': coalesce(m.p, p)}} ELSE m END) END
+  FROM (SELECT r.*, n.masters, CASE WHEN NOT r.is_prior THEN list_filter(n.masters, {same.format("e")})[1].root END AS by_e,
+          CASE WHEN NOT r.is_prior THEN list_filter(n.masters, {same.format("p")})[1].root END AS by_p
+        FROM orun n JOIN orow r ON r.seq = n.seq + 1)
+), olink AS (SELECT r.*, o.root, o.how FROM orow r JOIN orun o USING (seq))"""
+
+
+#: The staging rows in order, and their masters and golden values in ordered mode.
+ORDERED = ordered("""SELECT row_number() OVER (ORDER BY received_at, rid) AS seq, false AS is_prior, rid AS id, tenant_id,
+    nullif(lower(email), '') AS e, nullif(phone_number, '') AS p FROM raw""") + f""", omem AS (
+  SELECT w.*, o.seq, o.how, o.root, {uuid5("w.tenant_id || ':' || f.id")} AS mid FROM olink o JOIN raw w ON w.rid = o.id JOIN olink f ON f.seq = o.root
+), omast AS (
+  SELECT mid, tenant_id,
+    coalesce(arg_min(email, seq) FILTER (WHERE email <> ''), arg_min(email, seq)) AS email,
+    coalesce(arg_min(phone_number, seq) FILTER (WHERE phone_number <> ''), arg_min(phone_number, seq)) AS phone_number,
+    arg_max(last_name, seq) FILTER (WHERE last_name IS NOT NULL) AS last_name, arg_max(city, seq) FILTER (WHERE city IS NOT NULL) AS city,
+    array_to_string(list_sort(list(DISTINCT source_system)), ',') AS source_systems, arg_max(rid, seq) AS last_rid, arg_min(rid, seq) AS first_rid
+  FROM omem GROUP BY mid, tenant_id
+), oval AS (
+  SELECT DISTINCT mid AS master_profile_id, 'web_visitor' AS kind, visid AS value FROM omem
+  UNION SELECT m.mid, 'secondary_email', m.email FROM omem m JOIN omast g USING (mid) WHERE m.email <> '' AND lower(m.email) <> lower(g.email)
+  UNION SELECT m.mid, 'secondary_phone', m.phone_number FROM omem m JOIN omast g USING (mid) WHERE m.phone_number <> ''
+    AND m.phone_number <> g.phone_number)
+"""
+
+
 def sql(body: str) -> str:
     return BASE + body

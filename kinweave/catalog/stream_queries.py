@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from kinweave.catalog.registry import register
-from kinweave.catalog.sql import sql, uuid5
+from kinweave.catalog.sql import ORDERED, sql, uuid5
 from kinweave.catalog.ingest_queries import wire_sql
 from kinweave.operators import ingest
 from kinweave.plans.asof import micros
@@ -61,13 +61,42 @@ def _(c):
 @register("stream_resolution", "O-T3")
 def _(c):
     path = folder(c)
-    raw = c.raw().select(*[x for x in c.raw().columns])
-    s = resolve.ResolutionStore(c.spark, f"{path}/store", raw.schema)
-    resolve.start_resolution(written(raw, path), s, f"{path}/cp").awaitTermination()
+    s = resolve.ResolutionStore(c.spark, f"{path}/store", c.raw().schema)
+    resolve.start_resolution(in_batches(c.raw(), path, weeks("received_at"), (0, 1, 2, 3)), s, f"{path}/cp").awaitTermination()
     resolve.backfill(s, 1_000_000)
     return s.links().groupBy("match_rule").agg(F.count("*").alias("links"))
 
 
+def _resolved_in_order(c):
+    """Store after four micro-batches in order of arrival, each resolved as a whole on top of the ones before."""
+    def build():
+        path = folder(c)
+        s = resolve.ResolutionStore(c.spark, f"{path}/store", c.raw().schema)
+        stream = in_batches(c.raw(), path, weeks("received_at"), (0, 1, 2, 3))
+        resolve.start_resolution(stream, s, f"{path}/cp", look_back_minutes=None).awaitTermination()
+        return s
+    return c.keep("stream_store", build)
+
+
+@register("stream_golden_records", "O-T3 O-M1 O-M2 O-M6", sql(ORDERED + """
+SELECT mid AS master_profile_id, tenant_id, email, phone_number, last_name, city, source_systems, first_rid AS first_seen_raw_profile_id FROM omast"""))
+def _(c):
+    return _resolved_in_order(c).masters().select(
+        "master_profile_id", "tenant_id", "email", "phone_number", "last_name", "city", F.array_join("source_systems", ",").alias("source_systems"),
+        "first_seen_raw_profile_id")
+
+
+@register("stream_identifiers", "O-T3 O-M3", sql(ORDERED + "SELECT * FROM oval"))
+def _(c):
+    return _resolved_in_order(c).identifiers().select("master_profile_id", "kind", "value")
+
+
+@register("stream_links", "O-T3", sql(ORDERED + """
+SELECT rid AS raw_profile_id, mid AS master_profile_id, CASE WHEN seq = root THEN 'NewMaster' ELSE 'DynamicMatch' END AS match_rule FROM omem"""))
+def _(c):
+    return _resolved_in_order(c).links().select("raw_profile_id", "master_profile_id", "match_rule")
+
+
 @register("stream_distinct_events", "O-T5", "SELECT event_type, count(*) AS events FROM events GROUP BY 1")
 def _(c):
     path = folder(c)

@@ -57,12 +57,32 @@ def resolve_all_pending(raw: DataFrame, masters: DataFrame | None, links: DataFr
     return run_resolution(raw, masters, links, as_of, mode=mode, **options)
 
 
-def backfill_windows(pending: DataFrame, target: str, seconds: int, windows: int) -> DataFrame:
-    """Rows per contiguous window walking back from the target; window i is [target-(i+1)s, target-i*s)."""
+def _in_backfill(rows: DataFrame, target: str, seconds: int, windows: int) -> DataFrame:
+    """Rows with the contiguous window walking back from the target that they lie in; window i is [target-(i+1)s, target-i*s)."""
     age = F.timestamp_diff("MICROSECOND", F.col("received_at"), ts(target))
     index = F.ceil(age / F.lit(seconds * 1_000_000)) - 1
-    inside = pending.where(F.col("received_at") < ts(target)).withColumn("window_index", index.cast("long"))
-    return inside.where(F.col("window_index") < windows).groupBy("window_index").agg(F.count("*").alias("pending"))
+    inside = rows.where(F.col("received_at") < ts(target)).withColumn("window_index", index.cast("long"))
+    return inside.where(F.col("window_index") < windows)
+
+
+def backfill_windows(pending: DataFrame, target: str, seconds: int, windows: int) -> DataFrame:
+    """Rows per window of a backfill."""
+    return _in_backfill(pending, target, seconds, windows).groupBy("window_index").agg(F.count("*").alias("pending"))
+
+
+def backfill(raw: DataFrame, masters: DataFrame | None, links: DataFrame | None, target: str, seconds: int, windows: int, as_of: str,
+             mode: str = "sequential", **options) -> tuple[Resolution, DataFrame]:
+    """Resolve what is pending in the windows walking back from the target, in one run over their union.
+
+    Returns the resolution and (window_index, processed, new_masters, joined) per window that had pending rows.
+    """
+    todo = _in_backfill(pending_raw(raw, links), target, seconds, windows)
+    resolve = resolve_sequential if mode == "sequential" else resolve_transitive
+    res = resolve(todo.drop("window_index"), masters, as_of=as_of, **options)
+    new = F.col("match_rule") == "NewMaster"
+    counts = res.links.join(todo.select("raw_profile_id", "window_index"), "raw_profile_id").groupBy("window_index").agg(
+        F.count("*").alias("processed"), F.count_if(new).alias("new_masters"), F.count_if(~new).alias("joined"))
+    return res, counts
 
 
 def diff_resolutions(a: DataFrame, b: DataFrame) -> DataFrame:

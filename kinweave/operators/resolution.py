@@ -12,8 +12,9 @@ from kinweave.functions.ids import link_id, uuid5_dns
 from kinweave.operators import survivorship
 from kinweave.operators.components import connected_components, hub_edges
 from kinweave.operators.matching import by_kind, master_rule_values, raw_rule_values
+from kinweave.operators.ordered import keyed, settle
 from kinweave.operators.sequential import resolve_in_order
-from kinweave.operators.similarity import fuzzy_edges
+from kinweave.operators.similarity import fuzzy_edges, similar_texts
 from kinweave.plans.ordering import add_sequence
 from kinweave.plans.skew import MIN_HOT_ROWS, lookup_join
 from kinweave.plans.storage import materialize
@@ -159,13 +160,12 @@ def resolve_sequential(raw: DataFrame, masters: DataFrame | None = None, as_of:
                        rules=("email", "phone_number"), min_hot_rows: int = MIN_HOT_ROWS, **options) -> Resolution:
     """Order-faithful mode on the two primary contact columns: same result as one row after the other.
 
-    ``rules``: the two columns in order of priority, as names or as exact rules; others cannot be followed in order and raise.
+    ``rules``: the two columns in order of priority, as names or as exact rules. Other rules go to ``resolve_ordered``.
     """
-    if any(isinstance(r, Rule) and r.matching_rule != "exact" for r in rules):
-        raise ValueError("ordered mode follows exact rules only")
-    rules = [r.attribute if isinstance(r, Rule) else r for r in rules]
-    if sorted(rules) != ["email", "phone_number"]:
-        raise ValueError("ordered mode takes the email and the phone_number rule")
+    names = [r.attribute if isinstance(r, Rule) else r for r in rules]
+    if sorted(names) != ["email", "phone_number"] or any(isinstance(r, Rule) and r.matching_rule != "exact" for r in rules):
+        return resolve_ordered(raw, masters, as_of, rules, min_hot_rows, **options)
+    rules = names
     numbered = number_rows(raw, masters)
     key = lambda c: F.lower(c) if c == "email" else F.col(c)
     nodes = numbered.select("seq", "tenant_id", "is_prior", key(rules[0]).alias(rules[0] + "_key"),
@@ -176,6 +176,43 @@ def resolve_sequential(raw: DataFrame, masters: DataFrame | None = None, as_of:
     return Resolution(members, links)
 
 
+def resolve_ordered(raw: DataFrame, masters: DataFrame | None = None, as_of: str = "1970-01-01", rules=DEFAULT_RULES,
+                    min_hot_rows: int = MIN_HOT_ROWS, **options) -> Resolution:
+    """Order-faithful mode for rules of every kind, the smallest rule id first: same result as one row after the other.
+
+    A master answers for the first value of a scalar column (its primary one), for all values of sets and for all entries of id maps that it
+    has had. Phonetic rules compare codes, trigram rules take every value that is similar enough. Rules of other kinds take no part.
+    """
+    equal, fuzzy = by_kind(rules)
+    rules = [*equal, *fuzzy]
+    numbered = number_rows(raw, masters)
+    rows = numbered.count()
+    brought = raw_rule_values(numbered.where("not is_prior"), rules, ("seq",))
+    held = brought
+    if masters is not None:
+        seqs = numbered.where("is_prior").select("seq", F.col("prior_id").alias("master_profile_id"))
+        prior = master_rule_values(masters, rules, secondary=False, id_cols=("master_profile_id",))
+        held = brought.unionByName(prior.join(seqs, "master_profile_id").drop("master_profile_id"))
+    held = materialize(held)
+    scalar = [r.id for r in rules if r.kind == "column"]
+    asked = held.where(F.col("rule_id").isin([r.id for r in equal])).join(numbered.where("not is_prior").select("seq"), "seq", "left_semi")
+    asked = asked.select("seq", "tenant_id", "rule_id", "value")
+    for r in fuzzy:
+        texts = held.where(F.col("rule_id") == r.id).select("tenant_id", "rule_id", F.col("value").alias("text")).distinct()
+        near = similar_texts(texts, texts, r.threshold).select("tenant_id", "rule_id", F.col("a").alias("value"), F.col("b").alias("near"))
+        own = brought.where(F.col("rule_id") == r.id).select("seq", "tenant_id", "rule_id", "value")
+        asked = asked.unionByName(own.join(near, ["tenant_id", "rule_id", "value"]).select("seq", "tenant_id", "rule_id", F.col("near").alias("value")))
+    held_keys, asked_keys = keyed(held.select("seq", "tenant_id", "rule_id", "value", F.col("rule_id").isin(scalar).alias("slot")), asked,
+                                  rows * max(1, len(rules)), min_hot_rows)
+    decided = settle(numbered.select("seq", "is_prior"), held_keys, asked_keys, **options)
+    how = F.when(F.col("master") == F.col("seq"), F.lit("new"))
+    for r in rules:
+        how = how.when(F.col("rule_id") == r.id, r.attribute)
+    groups = decided.select("seq", F.col("master").alias("root"), how.alias("how"))
+    members, links = _finish(numbered, materialize(groups), as_of, rows, min_hot_rows)
+    return Resolution(members, links)
+
+
 def merge_updated(raw: DataFrame, links: DataFrame, masters: DataFrame, as_of: str) -> DataFrame:
     """Golden records of masters whose linked staging rows became pending again: new traits are merged in.
 

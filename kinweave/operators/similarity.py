@@ -5,12 +5,22 @@ Names repeat a lot, so the comparison runs on distinct values only and the resul
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions.trigram import similarity, trigrams
+from kinweave.operators.components import connected_components
 from kinweave.operators.matching import preferred_master
+from kinweave.plans.ordering import add_dense_rank_number
 from kinweave.plans.skew import lookup_join
+from kinweave.plans.storage import materialize
+
+#: Master values of the first level of a search from the oldest on, and how much larger each following level is.
+FIRST_LEVEL, GROWTH = 1024, 16
+#: Rows under one trigram that a share takes.
+HEAVY_GRAM = 20_000
 
 
 def _distinct_values(raw_values: DataFrame, master_values: DataFrame):
@@ -26,67 +36,136 @@ def _back_to_raws(raw_values: DataFrame, best: DataFrame) -> DataFrame:
         "raw_profile_id", "tenant_id", "rule_id", "attribute", "created_at", "master_profile_id", "measure")
 
 
-def trigram_match(raw_values: DataFrame, master_values: DataFrame, threshold: float) -> DataFrame:
+def trigram_match(raw_values: DataFrame, master_values: DataFrame, threshold: float, first: int = FIRST_LEVEL) -> DataFrame:
     """Oldest master whose value has trigram similarity of at least ``threshold``.
 
-    Prefix filter (Chaudhuri et al. 2006, Bayardo et al. 2007): with trigrams ordered from rare to frequent, two sets can
-    only reach the threshold if their first ``n - ceil(t n) + 1`` trigrams intersect. Nothing is lost, and frequent
-    trigrams hardly ever become join keys. Lengths are compared before the sets.
+    Masters' values are looked at from the oldest on, in levels of ``first``, then ``GROWTH`` times as many, and so on; a raw value that has found
+    its master leaves. However many names are near-equal, a raw value meets no more of them than one level has.
     """
     left, right = _distinct_values(raw_values, master_values)
-    found = similar_texts(left.withColumnRenamed("a", "text"), right.select("tenant_id", "rule_id", F.col("b").alias("text")), threshold)
-    best = found.join(right, ["tenant_id", "rule_id", "b"]).groupBy("tenant_id", "rule_id", "a").agg(
-        F.min(F.struct("created_at", "master_profile_id", "measure")).alias("_m")).select(
-        "tenant_id", "rule_id", "a", "_m.*")
-    return _back_to_raws(raw_values, best)
-
-
-def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
-    """(tenant_id, rule_id, a, b, measure) of all similar pairs of distinct texts (tenant_id, rule_id, text) of two tables."""
+    total = right.count()
+    placed = right if total <= first else materialize(add_dense_rank_number(right, ["created_at", "master_profile_id", "tenant_id", "rule_id", "b"], "place"))
+    found, start, size = None, 0, first
+    while start < max(total, 1):
+        level = placed if total <= first else placed.where((F.col("place") > start) & (F.col("place") <= start + size)).drop("place")
+        near = similar_texts(left.withColumnRenamed("a", "text"), level.select("tenant_id", "rule_id", F.col("b").alias("text")), threshold)
+        best = near.join(level, ["tenant_id", "rule_id", "b"]).groupBy("tenant_id", "rule_id", "a").agg(
+            F.min(F.struct("created_at", "master_profile_id", "measure")).alias("_m")).select("tenant_id", "rule_id", "a", "_m.*")
+        start, size = start + size, size * GROWTH
+        if start >= total and found is None:
+            return _back_to_raws(raw_values, best)
+        best = materialize(best)
+        found = best if found is None else found.unionByName(best)
+        left = left.join(best.select("tenant_id", "rule_id", "a"), ["tenant_id", "rule_id", "a"], "left_anti")
+        if start < total:
+            left = materialize(left)
+            if left.isEmpty():
+                break
+    return _back_to_raws(raw_values, found)
+
+
+def _prefixes(texts: DataFrame, names: list[str], threshold: float) -> DataFrame:
+    """(names..., n, grams, sign, df, gram, at): every text under the first trigrams of its rare-to-frequent order.
+
+    ``texts``: tenant_id, rule_id, text and further columns that make its rows distinct. Two sets can only reach the threshold if their first
+    ``n - ceil(t n) + 1`` trigrams intersect (Chaudhuri et al. 2006, Bayardo et al. 2007). ``sign`` has the parity of the trigrams per hash
+    class: two sets differ in at least as many trigrams as their signs differ in bits.
+    """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    sides = [df.select(F.lit(side).alias("side"), "tenant_id", "rule_id", "text") for side, df in (("a", left), ("b", right))]
-    texts = sides[0].unionByName(sides[1])
     texts = texts.withColumn("grams", trigrams("text")).withColumn("n", F.size("grams")).where("n > 0")
-    tokens = texts.select("side", "tenant_id", "rule_id", "text", "n", F.explode("grams").alias("gram"))
+    tokens = texts.select(*names, "n", F.explode("grams").alias("gram"))
     frequency = tokens.groupBy("tenant_id", "rule_id", "gram").agg(F.count("*").alias("df"))
-    ranked = tokens.join(frequency, ["tenant_id", "rule_id", "gram"]).groupBy(
-        "side", "tenant_id", "rule_id", "text", "n").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("df", "gram"))), lambda x: x["gram"]).alias("sorted"))
+    ranked = tokens.join(frequency, ["tenant_id", "rule_id", "gram"]).groupBy(*names, "n").agg(
+        F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("sorted"))
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int") + 1
-    prefixed = ranked.select("side", "tenant_id", "rule_id", "text", "n", F.col("sorted").alias("grams"),
-                             F.explode(F.slice("sorted", F.lit(1), keep)).alias("gram"))
-    one = prefixed.where("side = 'a'").select("tenant_id", "rule_id", "gram", F.col("text").alias("a"),
-                                              F.col("n").alias("na"), F.col("grams").alias("ga"))
-    two = prefixed.where("side = 'b'").select("tenant_id", "rule_id", "gram", F.col("text").alias("b"),
-                                              F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    near = one.join(two, ["tenant_id", "rule_id", "gram"]).where(
-        (F.least("na", "nb") + F.lit(1e-9)) >= F.greatest("na", "nb") * F.lit(threshold))
-    hits = near.withColumn("measure", similarity("ga", "gb")).where(F.col("measure") >= threshold - 1e-9)
-    return hits.select("tenant_id", "rule_id", "a", "b", "measure").distinct()
+    sign = "aggregate(grams, 0L, (s, g) -> s ^ shiftleft(1L, cast(pmod(xxhash64(g), 64) as int)))"
+    return ranked.select(*names, "n", F.col("sorted.gram").alias("grams"), F.posexplode(F.slice("sorted", F.lit(1), keep)).alias("at", "e")).select(
+        *names, "n", "grams", F.expr(sign).alias("sign"), F.col("e.df").alias("df"), F.col("e.gram").alias("gram"), "at")
+
+
+def _band(n, threshold: float):
+    """Lengths in a geometric row: sets similar enough lie in the same band or in neighbouring ones."""
+    return F.floor(F.log(n) / -math.log(min(threshold, 0.9)) + F.lit(1e-9)).cast("int")
+
+
+def _side(prefixes: DataFrame, names: list[str], mark: str) -> DataFrame:
+    return prefixes.select("tenant_id", "rule_id", "gram", "df", *[F.col(c).alias(f"{c}_{mark}") for c in [*names, "n", "grams", "sign", "at"]])
+
+
+def _met(one: DataFrame, two: DataFrame, threshold: float, heavy: int = HEAVY_GRAM) -> DataFrame:
+    """Similar pairs of two sides (``_side``) with ``measure``, each pair once.
+
+    Rows meet under a trigram and length band; a heavy trigram's rows are dealt over shares on one side and copied to them on the other.
+    A pair is measured only at its first common trigram, if what follows there can still reach the overlap (position filter, Xiao et al. 2008)
+    and the signs do not differ too much.
+    """
+    shares = F.ceil(F.col("df") / heavy).cast("int")
+    a = one.withColumn("share", F.pmod(F.xxhash64("grams_a"), shares).cast("int")).withColumn(
+        "band", F.explode(F.array(*[_band(F.col("n_a"), threshold) + d for d in (-1, 0, 1)])))
+    b = two.withColumn("share", F.explode(F.sequence(F.lit(0), shares - 1))).withColumn("band", _band(F.col("n_b"), threshold)).drop("df")
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
+    long_enough = (F.least("n_a", "n_b") + F.lit(1e-9)) >= F.greatest("n_a", "n_b") * F.lit(threshold)
+    position = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= need
+    apart = F.bit_count(F.col("sign_a").bitwiseXOR(F.col("sign_b"))) <= F.col("n_a") + F.col("n_b") - 2 * need
+    before = F.arrays_overlap(F.slice("grams_a", F.lit(1), F.col("at_a")), F.slice("grams_b", F.lit(1), F.col("at_b")))
+    met = a.join(b, ["tenant_id", "rule_id", "gram", "band", "share"]).where(long_enough & position & apart).where(~before)
+    return met.withColumn("measure", similarity("grams_a", "grams_b")).where(F.col("measure") >= threshold - 1e-9)
+
+
+def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+    """(tenant_id, rule_id, a, b, measure) of all similar pairs of distinct texts (tenant_id, rule_id, text) of two tables."""
+    sides = [df.select(F.lit(side).alias("side"), "tenant_id", "rule_id", "text") for side, df in (("a", left), ("b", right))]
+    prefixes = _prefixes(sides[0].unionByName(sides[1]), ["side", "tenant_id", "rule_id", "text"], threshold)
+    one, two = (_side(prefixes.where(F.col("side") == m), ["text"], m) for m in "ab")
+    return _met(one, two, threshold).select("tenant_id", "rule_id", F.col("text_a").alias("a"), F.col("text_b").alias("b"), "measure")
 
 
 def fuzzy_edges(values: DataFrame, rules, node: str = "seq") -> DataFrame:
-    """(u, v, rule_id, attribute), u > v: the first nodes of every two texts that a trigram rule takes for the same.
+    """(u, v, rule_id, attribute), u > v: edges between the first nodes of similar texts that connect whatever the trigram rules connect.
 
     ``values``: (tenant_id, rule_id, attribute, value, node). Rows with one and the same text are linked by equality already,
-    so one node per text stands for them.
+    so one node per text stands for them. Not every similar pair is put out: the texts under a trigram are first measured against one of them
+    (a star), twice with another hub, and only texts that are still apart after that meet each other.
     """
-    first = values.groupBy("tenant_id", "rule_id", "attribute", F.col("value").alias("text")).agg(F.min(node).alias("n"))
-    parts = []
-    for r in rules:
-        own = first.where(F.col("rule_id") == r.id)
-        near = similar_texts(own, own, r.threshold).where("a < b")
-        a = own.select("tenant_id", "rule_id", "attribute", F.col("text").alias("a"), F.col("n").alias("na"))
-        b = own.select("tenant_id", "rule_id", F.col("text").alias("b"), F.col("n").alias("nb"))
-        met = near.join(a, ["tenant_id", "rule_id", "a"]).join(b, ["tenant_id", "rule_id", "b"]).where("na <> nb")
-        parts.append(met.select(F.greatest("na", "nb").alias("u"), F.least("na", "nb").alias("v"), "rule_id", "attribute"))
+    names = ["tenant_id", "rule_id", "attribute", "text", "node"]
+    first = values.groupBy("tenant_id", "rule_id", "attribute", F.col("value").alias("text")).agg(F.min(node).alias("node"))
+    parts = [_connecting(_prefixes(first.where(F.col("rule_id") == r.id), names, r.threshold), r.threshold) for r in rules]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _connecting(prefixes: DataFrame, threshold: float) -> DataFrame:
+    prefixes = materialize(prefixes.withColumn("band", _band(F.col("n"), threshold)))
+    key, about = ["tenant_id", "rule_id", "gram", "band"], ["node", "attribute", "n", "grams", "sign", "at"]
+    names = ["node", "attribute"]
+    edges, roots = None, None
+    for turn in range(3):
+        rows = prefixes.withColumn("root", F.col("node")) if roots is None else prefixes.join(
+            roots.withColumnRenamed("root", "r"), "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
+        if turn < 2:
+            order = F.col("node") if turn == 0 else F.xxhash64("node", "gram")
+            hubs = rows.groupBy(*key).agg(F.min(F.struct(order.alias("o"), F.struct(*about, "root").alias("h"))).alias("m"), F.min("root").alias("lo"),
+                                          F.max("root").alias("hi")).where("lo < hi").select(*key, F.col("m.h").alias("h"))
+            met = lookup_join(rows, hubs, key).where("h is not null and root <> h.root")
+            pairs = met.select("tenant_id", "rule_id", *[F.col(f"h.{c}").alias(f"{c}_a") for c in about], *[F.col(c).alias(f"{c}_b") for c in about])
+            found = pairs.withColumn("measure", similarity("grams_a", "grams_b")).where(F.col("measure") >= threshold - 1e-9)
+        else:
+            several = rows.groupBy("tenant_id", "rule_id", "gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+            rest = materialize(lookup_join(rows.drop("band"), several.select("tenant_id", "rule_id", "gram", F.lit(True).alias("open")),
+                                           ["tenant_id", "rule_id", "gram"]).where("open").drop("open"))
+            one, two = (_side(rest, [*names, "root"], m) for m in "ab")
+            found = _met(one, two, threshold).where("node_a < node_b and root_a <> root_b")
+        own = found.select(F.greatest("node_a", "node_b").alias("u"), F.least("node_a", "node_b").alias("v"), "rule_id",
+                           F.col("attribute_a").alias("attribute")).where("u <> v").distinct()
+        edges = materialize(own if edges is None else edges.unionByName(own))
+        if turn < 2:
+            roots = connected_components(edges.select("u", "v"))
+    return edges
+
+
 def _deletions(text, max_distance: int):
     """The text and every text left after deleting up to ``max_distance`` characters."""
     variants = F.array(text)

@@ -53,6 +53,49 @@ def test_log_keeps_newest_and_compacts(spark, tmp_path):
     assert read(str(tmp_path / "log2")) == {"a": 2, "b": 1}
 
 
+def test_bucket_table_reads_the_buckets_of_its_keys_only(spark, tmp_path):
+    """Runs fold by levels, the newest row wins, a replay sees earlier batches only, and other buckets are not scanned."""
+    from kinweave.streaming.buckets import BucketTable
+    t = BucketTable(spark, str(tmp_path / "t"), ["k"], ["k"], buckets=16, fan=3)
+    rows = lambda b: spark.createDataFrame([(f"k{(b * 5 + i) % 17}", b) for i in range(8)], "k string, v int")
+    want = {}
+    assert t.read() is None
+    for b in range(11):
+        t.write(rows(b), b)
+        want.update({f"k{(b * 5 + i) % 17}": b for i in range(8)})
+        assert {r.k: r.v for r in t.read().collect()} == want
+    assert [r.level for r in t.live()] == [2, 0, 0] and [(r.first, r.last) for r in t.live()] == [(0, 8), (9, 9), (10, 10)]
+    before = {r.k: r.v for r in t.read(10).collect()}
+    t.write(rows(10), 10)
+    assert {r.k: r.v for r in t.read(10).collect()} == before and {r.k: r.v for r in t.read().collect()} == want
+    keys = spark.createDataFrame([("k3",), ("k9",)], "k string")
+    some = t.read(None, keys)
+    assert {r.k: r.v for r in some.collect()} == {k: want[k] for k in ("k3", "k9")}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "[bucket") or "PartitionFilters: [(bucket" in plan or "bucket#" in plan.split("PartitionFilters")[1][:80]
+    touched = {int(f.split("bucket=")[1].split("/")[0]) for f in t.read(None, keys).inputFiles()}
+    assert len(touched) <= 2
+    t.write(spark.createDataFrame([], "k string, v int"), 11)
+    assert {r.k: r.v for r in t.read().collect()} == want
+
+
+def test_batches_on_top_of_each_other_keep_what_masters_gathered(spark, raw, tmp_path):
+    """Four micro-batches in order give the golden records and identifiers of one sweep."""
+    store = resolve.ResolutionStore(spark, str(tmp_path / "s"), raw.schema, buckets=8)
+    days = [r.d for r in raw.selectExpr("date(received_at) d").distinct().orderBy("d").collect()]
+    cuts = [days[0], days[len(days) // 3], days[2 * len(days) // 3], days[-1]]
+    for b, (low, high) in enumerate(zip(cuts, [*cuts[1:], None])):
+        part = raw.where(raw.received_at.cast("date") >= low)
+        resolve.resolve_batch(store, part if high is None else part.where(raw.received_at.cast("date") < high), b, None)
+    sweep = resolution.resolve_sequential(raw, as_of=tables.AS_OF)
+    golden, values = resolution.golden_tables(sweep, tables.AS_OF)
+    assert links(store) == sorted((r.raw_profile_id, r.master_profile_id) for r in sweep.links.collect())
+    names = ["master_profile_id", "email", "phone_number", "last_name", "city", "source_systems", "crm_contact_ids", "first_seen_raw_profile_id"]
+    assert sorted(map(str, store.masters().select(names).collect())) == sorted(map(str, golden.select(names).collect()))
+    three = ["master_profile_id", "kind", "value"]
+    assert sorted(map(tuple, store.identifiers().select(three).collect())) == sorted(map(tuple, values.select(three).collect()))
+
+
 def test_traits_and_types(spark):
     from kinweave.sources.events import parse_documents
     docs = [
