@@ -114,8 +114,8 @@ def _(c):
 
 
 @register("ordered_incremental", "O-I14 O-I19 O-I22", sql(ordered("""
-  SELECT row_number() OVER (ORDER BY NOT is_prior, at, id) AS seq, * EXCLUDE (at) FROM (
-    SELECT true AS is_prior, mid AS id, tenant_id, nullif(lower(email), '') AS e, nullif(phone_number, '') AS p, created_at AS at FROM prior
+  SELECT row_number() OVER (ORDER BY NOT is_prior, arrived, id) AS seq, * EXCLUDE (arrived) FROM (
+    SELECT true AS is_prior, mid AS id, tenant_id, nullif(lower(email), '') AS e, nullif(phone_number, '') AS p, created_at AS arrived FROM prior
     UNION ALL SELECT false, rid, tenant_id, nullif(lower(email), ''), nullif(phone_number, ''), received_at FROM latr)""") + f"""
 SELECT o.id AS raw_profile_id, CASE WHEN f.is_prior THEN f.id ELSE {uuid5("f.tenant_id || ':' || f.id")} END AS master_profile_id,
   CASE WHEN o.seq = o.root THEN 'NewMaster' ELSE 'DynamicMatch' END AS match_rule, o.how AS matched_attribute
@@ -190,11 +190,11 @@ def _(c):
 
 
 @register("ledger_after_run", "O-I18 O-I19", sql(f"""
-, s AS (SELECT unnest([0, 1, 2]) AS k),
-w AS (SELECT DISTINCT tenant_id, k, TIMESTAMP '2024-01-01' + to_days(10 * k) AS f, TIMESTAMP '2024-01-11' + to_days(10 * k) AS e FROM raw, s),
-n AS (SELECT tenant_id, CAST(floor(date_diff('day', DATE '2024-01-01', received_at) / 10) AS INTEGER) AS k, count(*) AS n FROM raw GROUP BY 1, 2)
-SELECT w.tenant_id, {ts('f')} AS from_ts, {ts('e')} AS to_ts, CASE WHEN w.tenant_id = 't0' AND k = 0 THEN 7 ELSE coalesce(n, 0) END AS processed_count,
-  'success' AS job_status FROM w LEFT JOIN n USING (tenant_id, k)"""))
+, s AS (SELECT unnest([0, 1, 2]) AS w),
+w AS (SELECT DISTINCT tenant_id, w, TIMESTAMP '2024-01-01' + to_days(10 * w) AS f, TIMESTAMP '2024-01-11' + to_days(10 * w) AS e FROM raw, s),
+n AS (SELECT tenant_id, CAST(floor(date_diff('day', TIMESTAMP '2024-01-01', received_at) / 10) AS INTEGER) AS w, count(*) AS n FROM raw GROUP BY 1, 2)
+SELECT w.tenant_id, {ts('f')} AS from_ts, {ts('e')} AS to_ts, CASE WHEN w.tenant_id = 't0' AND w.w = 0 THEN 7 ELSE coalesce(n, 0) END AS processed_count,
+  'success' AS job_status FROM w LEFT JOIN n USING (tenant_id, w)"""))
 def _(c):
     """A ledger that already has one successful window and one failed one, after a run over all windows."""
     from kinweave.operators import runs

@@ -84,4 +84,4 @@ def conversation_memory_stream(turns: DataFrame, keep: int = KEEP, idle_ms: int
 
 def start_upserts(changes: DataFrame, path: str, trigger: dict | None = None):
     """Log every change of a keyed state as an upsert of its micro-batch; ``store.current`` reads the newest row per key."""
-    return start_batches(changes, lambda batch, i: append_upserts(batch, f"{path}/out", i), path, "update", trigger)
+    return start_batches(changes, lambda batch, i: append_upserts(batch, f"{path}/out", i), path, "update", trigger, several=False)

@@ -31,9 +31,11 @@ def rocksdb_state(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
 
 
-def start_batches(stream: DataFrame, handle, path: str, mode: str, trigger: dict | None):
-    """Run ``handle(batch, batch_id)`` on every micro-batch, with the batch kept while it is read several times."""
+def start_batches(stream: DataFrame, handle, path: str, mode: str, trigger: dict | None, several: bool = True):
+    """Run ``handle(batch, batch_id)`` on every micro-batch, which is kept while it is read ``several`` times."""
     def run(batch: DataFrame, batch_id: int) -> None:
+        if not several:
+            return handle(batch, batch_id)
         batch.persist()
         try:
             handle(batch, batch_id)
