@@ -20,6 +20,28 @@ def _(c):
     return quality.constraint_report(c.raw(), quality.raw_rules())
 
 
+BROKEN = [("gender", "gender NOT IN ('male', 'female', 'unknown', 'other')"), ("status_code", "status_code NOT BETWEEN -1 AND 3"),
+          ("tenant_id_null", "tenant_id IS NULL"), ("web_visitor_id_null", "web_visitor_id IS NULL")] + [
+    (f"length_{column}", f"length({column}) > {most}") for column, most in quality.RAW_LENGTHS.items()]
+
+
+@register("constraint_violations", "O-Q1", sql("""
+, v AS (SELECT CASE WHEN k % 5 = 0 THEN '?' ELSE gender END AS gender, k - 2 AS status_code, CASE WHEN k <> 7 THEN tenant_id END AS tenant_id,
+  CASE WHEN k % 6 <> 1 THEN repeat(visid, CAST(k AS INTEGER)) END AS web_visitor_id, source_system, repeat('9', CAST(3 * k AS INTEGER)) AS phone_number,
+  repeat(last_name, CAST(k AS INTEGER)) AS first_name, last_name, repeat('9', CAST(k % 14 AS INTEGER)) AS zip_code, repeat(country, CAST(k AS INTEGER)) AS country FROM t)
+""" + " UNION ALL ".join(f"SELECT '{rule}' AS rule, count(*) FILTER (WHERE {broken}) AS violations FROM v" for rule, broken in BROKEN)))
+def _(c):
+    """Tracking rows bent so that most rules have violations."""
+    k = F.col("k")
+    times = lambda column, n: F.expr(f"repeat({column}, cast({n} as int))")
+    rows = c.tracking().select(
+        F.when(k % 5 == 0, "?").otherwise(F.col("gender")).alias("gender"), (k - 2).alias("status_code"),
+        F.when(k != 7, F.col("tenant_id")).alias("tenant_id"), F.when(k % 6 != 1, times("visid", "k")).alias("web_visitor_id"), "source_system",
+        times("'9'", "3 * k").alias("phone_number"), times("last_name", "k").alias("first_name"), "last_name", times("'9'", "k % 14").alias("zip_code"),
+        times("country", "k").alias("country"))
+    return quality.constraint_report(rows, quality.raw_rules())
+
+
 @register("event_constraints", "O-Q1", sql("""
 , x AS (SELECT count(*) FILTER (WHERE rating + 1 > 10) AS r FROM acc)
 SELECT 'feedback_rating' AS rule, r AS violations FROM x UNION ALL SELECT 'event_name_null', 0 UNION ALL SELECT 'session_id_null', 0
