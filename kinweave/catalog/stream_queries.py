@@ -58,6 +58,21 @@ def _(c):
     return outcomes.union(staged)
 
 
+@register("stream_staging", "O-T1 O-T2", wire_sql("""
+SELECT w_tenant AS tenant_id, count(*) AS visitors FROM (SELECT DISTINCT w_tenant, CASE WHEN trim(w_visid) = '' THEN
+  """ + uuid5("(w_tenant || 'obs' || 'shop.example.com' || w_version || w_phone || w_email)") + """ ELSE w_visid END AS id
+  FROM wire WHERE outcome = 'accepted' AND k NOT IN (21, 22)) GROUP BY 1"""))
+def _(c):
+    """Staging rows after four micro-batches out of time order: a visitor's later batches overwrite its row."""
+    path = folder(c)
+    wire = in_batches(c.wire().select("value", "k", F.coalesce(weeks("ts"), F.lit(0)).alias("part")), path, F.col("part"), (1, 3, 0, 2))
+    stream_ingest.start_ingest(ingest.route_ingest(stream_ingest.parse_documents(wire.drop("part"))), f"{path}/ok", f"{path}/dead",
+                               f"{path}/staging", f"{path}/cp").awaitTermination()
+    schema = c.spark.read.option("basePath", f"{path}/staging").parquet(f"{path}/staging").drop("batch").schema
+    rows = store.current(c.spark, f"{path}/staging", ["tenant_id", "web_visitor_id"], schema)
+    return rows.groupBy("tenant_id").agg(F.count("*").alias("visitors"))
+
+
 @register("stream_resolution", "O-T3")
 def _(c):
     path = folder(c)
