@@ -261,10 +261,10 @@ def test_idle_conversations_end_by_timer(spark, tmp_path):
     schema = "conv_id long, turn long, text string"
     one_file_per_batch(spark, f"{path}/in", [[(1, 1, "a"), (1, 2, "b"), (1, None, "x")], [(1, 4, "d"), (1, 3, "c")]], schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
-    query = state.start_upserts(state.conversation_memory_stream(stream, keep=3, idle_ms=4000), path, {"processingTime": "1 second"})
+    query = state.start_upserts(state.conversation_memory_stream(stream, keep=3, idle_ms=20_000), path, {"processingTime": "1 second"})
 
     def wait_for(rows):
-        for _ in range(60):
+        for _ in range(90):
             time.sleep(1)
             log = [(r.batch, r.turns, r.ended) for r in spark.read.schema(
                 "conv_id long, turns array<long>, texts array<string>, ended boolean, batch long").option("basePath", f"{path}/out").parquet(
