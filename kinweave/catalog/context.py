@@ -78,8 +78,9 @@ class Context:
         return behavior.visitor_owner(self.members())
 
     def events(self) -> DataFrame:
+        # The accepted documents bound the events from above; counting the events themselves would remove the copies twice.
         return self.keep("events", lambda: behavior.stitch_events(
-            behavior.events_to_behavioral(self.accepted()), self.owners()))
+            behavior.events_to_behavioral(self.accepted()), self.owners(), self.accepted().count()))
 
     def purchases(self) -> DataFrame:
         return self.keep("purchases", lambda: behavior.stitch_events(

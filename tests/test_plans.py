@@ -5,6 +5,8 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from kinweave.catalog.context import Context
+from kinweave.operators import behavior
 from kinweave.plans.ordering import add_sequence
 from kinweave.plans.skew import hot_keys, lookup_join, with_minimum
 from kinweave.plans.storage import materialize, working_dir
@@ -100,3 +102,14 @@ def test_null_and_hot_keys_are_spread(spark):
         assert max(sizes) - 10_000 <= 3 * 40_000 / len(sizes)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_events_are_stitched_without_being_counted(spark, monkeypatch):
+    bounds = []
+    monkeypatch.setattr(Context, "keep", lambda self, name, build: build())
+    monkeypatch.setattr(Context, "accepted", lambda self: spark.range(3))
+    monkeypatch.setattr(Context, "owners", lambda self: None)
+    monkeypatch.setattr(behavior, "events_to_behavioral", lambda df: None)
+    monkeypatch.setattr(behavior, "stitch_events", lambda events, owners, rows=None: bounds.append(rows))
+    Context(spark, "unused").events()
+    assert bounds == [3]
