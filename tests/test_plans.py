@@ -6,11 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinweave.catalog.context import Context
-from kinweave.operators import behavior
+from kinweave.operators import behavior, ingest
+from kinweave.plans import tables
 from kinweave.plans.ordering import add_sequence
 from kinweave.plans.skew import hot_keys, lookup_join, with_minimum
-from kinweave.plans.storage import materialize, working_dir
+from kinweave.plans.storage import COMPILED_BYTES, LONGEST_METHOD, materialize, working_dir
 from kinweave.sources import lake
+from kinweave.sources.events import parse_documents
 
 
 @pytest.fixture(scope="module")
@@ -104,6 +106,22 @@ def test_null_and_hot_keys_are_spread(spark):
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
+def test_a_filter_on_fields_does_not_repeat_the_parsing(spark):
+    docs = spark.createDataFrame([('{"tenant_id": "t", "visid": "v", "metric": "m"}',), ('{"tenant_id": 1, "visid": "v", "metric": "m"}',),
+                                  ("{",), ("",), (None,)], "value string")
+    ok = ingest.classify_records(ingest.accepted(ingest.route_ingest(parse_documents(docs)))).where("record_state = 'Ok'")
+    assert ok._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [(r.tenant_id, r.visid, r.metric) for r in ok.collect()] == [("t", "v", "m")]
+
+
+@pytest.mark.parametrize("build", [tables.accepted_events, tables.raw_profiles])
+def test_wide_tables_are_written_by_compiled_methods(spark, monkeypatch, build):
+    before = spark.conf.get(LONGEST_METHOD)
+    monkeypatch.setattr(tables, "stored", lambda *_: spark.conf.get(LONGEST_METHOD))
+    assert build(spark, "unused") == COMPILED_BYTES
+    assert spark.conf.get(LONGEST_METHOD) == before
+
+
 def test_events_are_stitched_without_being_counted(spark, monkeypatch):
     bounds = []
     monkeypatch.setattr(Context, "keep", lambda self, name, build: build())
