@@ -24,16 +24,16 @@ def parse_documents(df: DataFrame, body: str = "value") -> DataFrame:
     ``_typed`` tells whether the identifying fields are JSON strings.
     """
     # A filter on the fields would be moved below their reading, which it then repeats for every field it names. Spark moves none
-    # below an expression that is not deterministic, as the partition number is.
+    # below an expression that is not deterministic, as the partition number is. So texts are parsed, and variants read, once a row.
     once = lambda c: F.when(F.spark_partition_id() >= 0, c)
     parsed = df.withColumn("_doc", once(F.from_json(F.col(body), TRACKING_EVENT, _JSON_OPTIONS)))
     kind = lambda f: F.coalesce(F.schema_of_variant(F.col(f"_doc.{f}")) == "STRING", F.lit(False))
     typed = kind(TYPED_FIELDS[0])
     for f in TYPED_FIELDS[1:]:
         typed = typed & kind(f)
-    fields = [F.try_variant_get(F.col(f"_doc.{n}"), "$", "string").alias(n) if n in TYPED_FIELDS else F.col(f"_doc.{n}")
+    fields = [once(F.try_variant_get(F.col(f"_doc.{n}"), "$", "string")).alias(n) if n in TYPED_FIELDS else F.col(f"_doc.{n}")
               for n in TRACKING_EVENT.fieldNames()]
-    return parsed.select(*df.columns, *fields, typed.alias("_typed"))
+    return parsed.select(*df.columns, *fields, once(typed).alias("_typed"))
 
 
 def decode_envelope(df: DataFrame, data_col: str = "data", body: str = "value") -> DataFrame:

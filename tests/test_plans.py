@@ -114,6 +114,23 @@ def test_a_filter_on_fields_does_not_repeat_the_parsing(spark):
     assert [(r.tenant_id, r.visid, r.metric) for r in ok.collect()] == [("t", "v", "m")]
 
 
+def test_a_filter_on_fields_does_not_repeat_the_reading_of_variants(spark):
+    docs = spark.createDataFrame([('{"tenant_id": "t", "visid": "v", "metric": "m"}',)], "value string")
+    ok = ingest.classify_records(ingest.accepted(ingest.route_ingest(parse_documents(docs)))).where("record_state = 'Ok'")
+    plan = ok.select("tenant_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get(_doc") == 3 and plan.count("schemaOfVariant(") == 3, plan
+
+
+def test_documents_are_not_written_to_be_read_once(spark, monkeypatch, tmp_path):
+    one = spark.createDataFrame([(1, "e30=")], "eid long, data string")
+    monkeypatch.setattr(tables, "_tracking_documents", lambda *_: one)
+    monkeypatch.setattr(tables, "_stored", {})
+    assert [r.eid for r in tables.routed_events(spark, str(tmp_path)).collect()] == [1]
+    assert tables._stored == {}
+    kept = tables.tracking_documents(spark, str(tmp_path))
+    assert tables.routed_events(spark, str(tmp_path)).inputFiles() == kept.inputFiles() != []
+
+
 @pytest.mark.parametrize("build", [tables.accepted_events, tables.raw_profiles])
 def test_wide_tables_are_written_by_compiled_methods(spark, monkeypatch, build):
     before = spark.conf.get(LONGEST_METHOD)
