@@ -11,7 +11,7 @@ from kinweave.catalog.sql import ORDERED, sql, uuid5
 from kinweave.catalog.ingest_queries import wire_sql
 from kinweave.operators import ingest
 from kinweave.plans.asof import micros
-from kinweave.plans.storage import working_dir
+from kinweave.plans.storage import documents_split, working_dir
 from kinweave.streaming import ingest as stream_ingest
 from kinweave.streaming import resolve, state, store, windows
 
@@ -50,7 +50,8 @@ UNION ALL SELECT 'staged', count(*) FROM (SELECT DISTINCT w_tenant, CASE WHEN tr
 def _(c):
     path = folder(c)
     stream = ingest.route_ingest(stream_ingest.parse_documents(written(c.wire().select("value", "k"), path)))
-    stream_ingest.start_ingest(stream, f"{path}/ok", f"{path}/dead", f"{path}/staging", f"{path}/cp").awaitTermination()
+    with documents_split(c.spark):
+        stream_ingest.start_ingest(stream, f"{path}/ok", f"{path}/dead", f"{path}/staging", f"{path}/cp").awaitTermination()
     read = lambda name: c.spark.read.parquet(f"{path}/{name}")
     staged = read("staging").select("tenant_id", "web_visitor_id").distinct().agg(F.count("*").alias("events")).select(
         F.lit("staged").alias("outcome"), "events")
@@ -66,8 +67,9 @@ def _(c):
     """Staging rows after four micro-batches out of time order: a visitor's later batches overwrite its row."""
     path = folder(c)
     wire = in_batches(c.wire().select("value", "k", F.coalesce(weeks("ts"), F.lit(0)).alias("part")), path, F.col("part"), (1, 3, 0, 2))
-    stream_ingest.start_ingest(ingest.route_ingest(stream_ingest.parse_documents(wire.drop("part"))), f"{path}/ok", f"{path}/dead",
-                               f"{path}/staging", f"{path}/cp").awaitTermination()
+    with documents_split(c.spark):
+        stream_ingest.start_ingest(ingest.route_ingest(stream_ingest.parse_documents(wire.drop("part"))), f"{path}/ok", f"{path}/dead",
+                                   f"{path}/staging", f"{path}/cp").awaitTermination()
     schema = c.spark.read.option("basePath", f"{path}/staging").parquet(f"{path}/staging").drop("batch").schema
     rows = store.current(c.spark, f"{path}/staging", ["tenant_id", "web_visitor_id"], schema)
     return rows.groupBy("tenant_id").agg(F.count("*").alias("visitors"))

@@ -22,6 +22,11 @@ LONGEST_METHOD = "spark.sql.codegen.hugeMethodLimit"
 #: The JVM never compiles a method of more bytes than this, so Spark's own limit of 65535 leaves wide rows to its interpreter.
 COMPILED_BYTES = "8000"
 
+#: Fixed value: Spark's setting for the bytes of files that one task reads.
+TASK_BYTES = "spark.sql.files.maxPartitionBytes"
+#: Parsed documents are more than ten times as large in memory as in compressed files, so a task takes less than Spark's own 128 MB of them.
+DOCUMENT_BYTES = 32 * 1024 * 1024
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -60,6 +65,18 @@ def methods_compiled(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(LONGEST_METHOD, before)
 
 
+@contextmanager
+def documents_split(spark: SparkSession) -> Iterator[None]:
+    """Queries and micro-batches that run inside read files of documents in parts small enough to be held parsed; a smaller setting stays."""
+    before = spark.conf.get(TASK_BYTES)
+    given = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(TASK_BYTES, str(min(given, DOCUMENT_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(TASK_BYTES, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a DataFrame once and read it back."""
     path = f"{working_dir(df.sparkSession)}/{uuid.uuid4().hex}"

@@ -27,7 +27,10 @@ def staging_rows(batch: DataFrame) -> DataFrame:
 
 def start_ingest(stream: DataFrame, accepted_path: str, dead_letter_path: str, staging_path: str, checkpoint: str,
                  trigger: dict | None = None):
-    """Write every micro-batch to three sinks. The folders are named by batch, so a replay rewrites them exactly."""
+    """Write every micro-batch to three sinks. The folders are named by batch, so a replay rewrites them exactly.
+
+    A batch is held parsed; ``documents_split`` around the running query keeps its parts small whatever the files' sizes are.
+    """
     def flush(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:

@@ -299,3 +299,28 @@ WHERE outcome = 'accepted' AND k NOT IN (21, 22)""")
     want = con.execute(f"SELECT count(*), count(*) FILTER (WHERE blank) FROM ({rows})").fetchone()
     got = {r.outcome: r.events for r in QUERIES["stream_ingest"].run(spark, SMALL).collect()}
     assert want[1] > 0 and got["staged"] == want[0]
+
+
+def test_a_parsed_batch_is_held_in_small_parts(spark, tmp_path, monkeypatch):
+    from kinweave.plans import storage
+    from kinweave.streaming import ingest as stream_ingest
+
+    docs = spark.range(400).selectExpr("""concat('{"tenant_id": "t", "metric": "m", "visid": "v', id, '", "mediahost": "', sha2(cast(id as string), 512), '"}') value""")
+    docs.repartition(8).write.parquet(f"{tmp_path}/in")
+    size = max(f.stat().st_size for f in (tmp_path / "in").glob("part-*"))
+    monkeypatch.setattr(storage, "DOCUMENT_BYTES", size)
+    parts, rows = [], stream_ingest.staging_rows
+    monkeypatch.setattr(stream_ingest, "staging_rows", lambda batch: (parts.append(batch.rdd.getNumPartitions()), rows(batch))[1])
+    given = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in given.items():
+        spark.conf.set(name, value)
+    before = spark.conf.get(storage.TASK_BYTES)
+    try:
+        stream = stream_ingest.routed(spark.readStream.schema("value string").parquet(f"{tmp_path}/in"))
+        with storage.documents_split(spark):
+            stream_ingest.start_ingest(stream, *[f"{tmp_path}/{n}" for n in ("ok", "dead", "staging", "cp")]).awaitTermination()
+    finally:
+        for name in given:
+            spark.conf.unset(name)
+    assert parts == [8] and spark.conf.get(storage.TASK_BYTES) == before
+    assert spark.read.parquet(f"{tmp_path}/staging").count() == 400
