@@ -1,5 +1,6 @@
 """Skew-safe joins, stored tables and pushed-down scans."""
 
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -121,6 +122,14 @@ def test_a_filter_on_fields_does_not_repeat_the_reading_of_variants(spark):
     assert plan.count("get(_doc") == 3 and plan.count("schemaOfVariant(") == 3, plan
 
 
+def test_an_empty_body_is_found_without_counting_characters(spark):
+    df = parse_documents(spark.createDataFrame([(1, None), (2, ""), (3, "{"), (4, "\u00e9")], "id int, value string"))
+    routed = ingest.route_ingest(df)
+    assert {r.id: r.outcome for r in routed.collect()} == {1: "missing_body", 2: "missing_body", 3: "bad_json", 4: "bad_json"}
+    plan = ingest.accepted(routed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "octet_length(value" in plan and not re.search(r"(?<!octet_)length\(value", plan)
+
+
 def test_documents_are_not_written_to_be_read_once(spark, monkeypatch, tmp_path):
     one = spark.createDataFrame([(1, "e30=")], "eid long, data string")
     monkeypatch.setattr(tables, "_tracking_documents", lambda *_: one)
