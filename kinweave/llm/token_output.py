@@ -35,17 +35,15 @@ def encode_texts(docs: DataFrame, path: str, vocabulary: int, end_id: int | None
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches):
-        part, before, tool = TaskContext.get().partitionId(), 0, encoder(path)
+        part, before, tool = TaskContext.get().partitionId(), 0, encoder(path, width)
+        end = b"" if end_id is None else np.array([end_id], width).tobytes()
         for batch in batches:
             for piece in slices(batch, "text", TEXTS_AT_ONCE):
-                ids, counts = tool.encode(piece.column("text").to_pylist())
-                ids, stops = ids.astype(width), np.cumsum(counts)
-                end = b"" if end_id is None else np.array([end_id], width).tobytes()
-                own = counts + (end_id is not None)
+                ids = [found + end for found in tool.encode_each(piece.column("text").to_pylist())]
+                own = np.array([len(i) for i in ids], np.int64) // np.dtype(width).itemsize
                 sums = before + np.cumsum(own)
                 yield pa.RecordBatch.from_arrays([
-                    piece.column("doc_id"), pa.array(np.full(len(own), part, np.int32)), pa.array(sums - own), pa.array(own),
-                    pa.array([ids[b - n:b].tobytes() + end for b, n in zip(stops, counts)], pa.binary()),
+                    piece.column("doc_id"), pa.array(np.full(len(own), part, np.int32)), pa.array(sums - own), pa.array(own), pa.array(ids, pa.binary()),
                 ], names=["doc_id", "part", "before", "n_tokens", "ids"])
                 before = int(sums[-1])
 

@@ -1,13 +1,16 @@
 """Token ids of texts with a public byte-level BPE tokenizer, one library call per distinct word piece.
 
 The tokenizer lower-cases, drops white space and merges only inside runs of letters, so a text's ids are the ids of its words in
-order. Words are looked up in a bounded per-worker memory of pieces; only unknown ones are encoded.
+order. A text of Latin letters is cut into the very runs that the tokenizer merges in, any other one into words. Pieces are looked up in a
+bounded per-worker memory; only unknown ones are encoded.
 """
 
 from __future__ import annotations
 
 import os
-from array import array
+import re
+import struct
+from collections.abc import Callable
 
 import numpy as np
 
@@ -15,8 +18,13 @@ import numpy as np
 REMEMBERED = 700_000
 #: Punctuation that may be cut off behind a letter or digit: the tokenizer separates it there anyway.
 TAIL = b".,;:!?"
+#: The tokenizer's own runs in lower-cased Latin-1, where no two characters compose.
+LETTER, DIGIT = rb"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", rb"0-9\xb2\xb3\xb9\xbc-\xbe"
+RUN = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[" + LETTER + rb"]+|[" + DIGIT + rb"]|[^\s" + LETTER + DIGIT + rb"]+")
+#: Control characters, blanks and the soft hyphen beyond ASCII.
+OTHER = re.compile(rb"[\x80-\xa0\xad]")
 
-_encoders: dict[str, "WordEncoder"] = {}
+_encoders: dict[tuple[str, str], "WordEncoder"] = {}
 
 
 def byte_letters() -> dict[int, str]:
@@ -26,34 +34,57 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+class Memory(dict):
+    """Ids of pieces as bytes; an unknown piece is encoded when it is asked for."""
+
+    def __init__(self, encode: Callable[[bytes], list[int]], width: str):
+        super().__init__()
+        self.encode, self.kind = encode, np.dtype(width).char
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.encode(piece)
+        self[piece] = packed = struct.pack(f"<{len(ids)}{self.kind}", *ids)
+        return packed
+
+
 class WordEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: str = "<u4"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.width = Tokenizer.from_file(path), width
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = byte_letters()
-        self.forget()
+        self.words, self.runs = Memory(self._encode, width), Memory(self._encode_run, width)
 
-    def forget(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids, self.starts, self.lengths = array("I"), array("q"), array("q")
+    def _merged(self, raw: bytes) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(raw.decode("latin-1").translate(self.letters))]
 
     def _encode(self, piece: bytes) -> list[int]:
         word = piece.decode()
         # A word of Latin letters is one run of letters whatever the normaliser does, so the merges alone decide.
         if len(piece) < 64 and word.isalpha() and ord(max(word)) < 256:
-            return [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in word.lower().encode()]))]
+            return self._merged(word.lower().encode())
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
-    def _learn(self, pieces) -> None:
-        for piece in pieces:
-            ids = self._encode(piece)
-            self.place[piece] = len(self.starts)
-            self.starts.append(len(self.ids))
-            self.lengths.append(len(ids))
-            self.ids.extend(ids)
+    def _encode_run(self, run: bytes) -> list[int]:
+        if len(run) < 64:
+            return self._merged(run if run.isascii() else run.decode("latin-1").encode())
+        return self.tokenizer.encode(run.decode("latin-1"), add_special_tokens=False).ids
+
+    def latin(self, text: str) -> bytes | None:
+        """The lower-cased text in Latin-1 if ``RUN`` finds the tokenizer's own runs in it."""
+        try:
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+        if text.isascii():
+            low = raw.lower()
+        elif OTHER.search(raw):
+            return None
+        else:
+            low = text.lower().encode("latin-1")
+        return None if any(s in low for s in self.special) else low
 
     def pieces(self, text: str) -> list[bytes]:
         """The words of a text, cut before their closing punctuation where that changes no id."""
@@ -74,35 +105,33 @@ class WordEncoder:
             out.append(w)
         return out
 
+    def ids_of(self, text: str | None) -> bytes:
+        """The ids of a text, ``width`` wide each."""
+        if not text:
+            return b""
+        low = self.latin(text)
+        if low is not None:
+            return b"".join(map(self.runs.__getitem__, RUN.findall(low)))
+        return b"".join(map(self.words.__getitem__, self.pieces(text)))
+
+    def encode_each(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text."""
+        out = []
+        for text in texts:
+            out.append(self.ids_of(text))
+            if len(self.words) + len(self.runs) > REMEMBERED:
+                self.words.clear()
+                self.runs.clear()
+        return out
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text)."""
-        counts, pieces = np.zeros(len(texts), np.int64), []
-        for k, text in enumerate(texts):
-            if text:
-                own = self.pieces(text)
-                counts[k] = len(own)
-                pieces.extend(own)
-        if not pieces:
-            return np.zeros(0, np.uint32), counts
-        get = self.place.get
-        places = np.array([get(p, -1) for p in pieces], np.int64)
-        unknown = np.flatnonzero(places < 0)
-        if len(unknown):
-            new = [pieces[i] for i in unknown]
-            self._learn(set(new))
-            places[unknown] = [self.place[p] for p in new]
-        starts, lengths = np.array(self.starts)[places], np.array(self.lengths)[places]
-        ends = np.cumsum(lengths)
-        take = np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
-        ids = np.array(self.ids, np.uint32)[take]
-        upto = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        if len(self.place) > REMEMBERED:
-            self.forget()
-        return ids, np.diff(upto)
-
-
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and file; it stays between tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+        found = self.encode_each(texts)
+        return np.frombuffer(b"".join(found), self.width), np.array([len(f) for f in found], np.int64) // np.dtype(self.width).itemsize
+
+
+def encoder(path: str, width: str = "<u4") -> WordEncoder:
+    """One encoder per Python worker, file and width; it stays between tasks."""
+    if (path, width) not in _encoders:
+        _encoders[path, width] = WordEncoder(path, width)
+    return _encoders[path, width]

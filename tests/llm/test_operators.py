@@ -481,3 +481,20 @@ def test_near_of_many_equal_rows(save):
     sets = minhash_dedup.sketches(rows_)
     keys = sets.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("text_key").alias("text_key"))
     assert minhash_dedup._packed_texts(rows_, keys).count() == 2
+
+
+def test_latin_text_is_cut_into_the_tokenizers_own_runs():
+    """Each run is encoded once whatever stands beside it, and the ids are the tokenizer's; other texts are cut into words."""
+    from kinweave.llm.vocabulary import WordEncoder
+    tool = WordEncoder(tokenizers.path(queries.TOKENIZER), "<u2")
+    want = lambda text: tool.tokenizer.encode(text, add_special_tokens=False).ids
+    tool.encode_each(["Wort,wort;WORT 3wort", "(wort) wort!"])
+    assert set(tool.runs) == {b"wort", b",", b";", b"3", b"(", b")", b"!"} and not tool.words
+    latin, rng = [chr(c) for c in range(256)], np.random.default_rng(3)
+    texts = ["".join(rng.choice(latin + [*"''stdm ,."] * 9, 12)) for _ in range(500)] + [
+        "".join(rng.choice([*latin, "\u0301", "\u212a", "\u0130", "\u2019", "\u1e9e"], 6)) for _ in range(500)]
+    texts += ["don't 'Sa I'LL", "\u00c4rger e\u0301t\u00e9", "a" * 200, "\u00bd1\u00b2", "", None]
+    for text, ids in zip(texts, tool.encode_each(texts)):
+        assert np.frombuffer(ids, "<u2").tolist() == (want(text) if text else []), text
+    wide, counts = WordEncoder(tokenizers.path(queries.TOKENIZER)).encode(texts)
+    assert wide.tolist() == [i for t in texts if t for i in want(t)] and counts.sum() == len(wide) and wide.dtype == np.uint32
