@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.types import StructType
 
+from kinweave.llm.blocks import slices
+
 FEATURES = 1 << 14
 SAMPLE = 4000
 CALIBRATE_EVERY = 5
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.1
 CHARS_AT_ONCE = 1_000_000
+#: Text of the rows that are put out at once.
+BYTES_AT_ONCE = 1_000_000
 UNKNOWN = "und"
 MIN_SCORE = 0.35
 
@@ -204,7 +208,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text") -
     """The rows whose language is recognised with a calibrated probability of at least ``MIN_SCORE``, columns unchanged."""
     def run(batches):
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column(text)]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= MIN_SCORE for lang, score in found], pa.bool_()))
+            for piece in slices(batch, text, BYTES_AT_ONCE):
+                found = [model.predict(t.as_py()) for t in piece.column(text)]
+                yield piece.filter(pa.array([lang != UNKNOWN and score >= MIN_SCORE for lang, score in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

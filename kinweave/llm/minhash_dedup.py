@@ -31,14 +31,17 @@ from pyspark.sql import Window as W
 from kinweave.llm import blocks as B
 from kinweave.llm.text import free_name, quoted
 from kinweave.operators.components import connected_components
-from kinweave.plans.storage import materialize
+from kinweave.plans.storage import materialize, text_batches
 
 SHINGLE = 5
 PERCENT = 85
 K = 64
 TAIL = 1e-10
 PARITY = 8
-BYTES_AT_ONCE = 4_000_000
+#: Text that a task shingles at once: its words and their hashes take some 40 times as much memory.
+BYTES_AT_ONCE = 500_000
+#: Compressed text at once where sets are made again.
+PACKED_AT_ONCE = 250_000
 
 
 @cache
@@ -84,6 +87,11 @@ def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    with text_batches(df.sparkSession):
+        return materialize(df)
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, row, n, node, sketch): set size, a hash of the set (NULL for an empty one), its smallest hashes.
 
@@ -151,7 +159,7 @@ def _parities(texts: DataFrame) -> DataFrame:
     def run(batches):
         zip_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            for piece in B.slices(batch, "packed", BYTES_AT_ONCE // 4):
+            for piece in B.slices(batch, "packed", PACKED_AT_ONCE):
                 h, d = shingle_sets([zip_.decompress(t).decode() for t in piece.column("packed").to_pylist()])
                 at = d * (64 * PARITY) + (h % np.uint64(64 * PARITY)).astype(np.int64)
                 odd = (np.bincount(at, minlength=piece.num_rows * 64 * PARITY) % 2).astype(np.uint8)
@@ -175,7 +183,7 @@ def _other_pairs(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     def explode(batches):
         zip_ = zstandard.ZstdDecompressor()
         for batch in batches:
-            for piece in B.slices(batch, "packed", BYTES_AT_ONCE // 4):
+            for piece in B.slices(batch, "packed", PACKED_AT_ONCE):
                 h, d = shingle_sets([zip_.decompress(t).decode() for t in piece.column("packed").to_pylist()])
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))] + [
                     pa.array(piece.column(c).to_numpy()[d]) for c in ("node", "n", "root")], names=["value", "node", "n", "root"])
@@ -192,7 +200,7 @@ def _other_pairs(lists: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     short = prefix.select(F.col("f.value").alias("value"), "node", "n", "root", most.alias("most"))
     useful = short.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("least")).where("lo < hi")
     kept = short.join(useful.select("value", "least"), "value").where("most >= least").drop("least")
-    lists = materialize(kept.join(_parities(texts.join(open_nodes, "node")), "node"))
+    lists = _stored(kept.join(_parities(texts.join(open_nodes, "node")), "node"))
     names = ["node", "n", "root", "most", *[f"s{k}" for k in range(PARITY)]]
     left = lists.select("value", *[F.col(c).alias(f"{c}_a") for c in names])
     right = lists.select("value", *[F.col(c).alias(f"{c}_b") for c in names])
@@ -260,29 +268,29 @@ def _packed_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, text_key, n, root), stored: the component of every row, NULL for rows that take part in no link."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = materialize(sketches(rows))
+    sets = _stored(sketches(rows))
     whose = sets.where("node is not null and doc_id is not null")
     first = whose.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first")).select(F.col("first.row").alias("row"))
-    nodes = materialize(whose.join(first, "row").drop("row"))
-    lists = materialize(inverted_lists(nodes, percent))
+    nodes = _stored(whose.join(first, "row").drop("row"))
+    lists = _stored(inverted_lists(nodes, percent))
     listed = lists.select("node").distinct()
     # The text of a node's first document; an id may have several texts, so the text's hash is part of the key.
     keys = nodes.join(listed, "node", "left_semi").select("node", "doc_id", "text_key")
-    texts = materialize(_packed_texts(rows, keys))
+    texts = _stored(_packed_texts(rows, keys))
     links, roots = None, None
     for turn in range(3):
         with_root = lists.withColumn("root", F.col("node")) if roots is None else lists.join(
             roots.withColumnRenamed("root", "r"), "node", "left").withColumn("root", F.coalesce("r", "node")).drop("r")
         order = F.col("node") if turn == 0 else F.xxhash64("node", "value")
         pairs = _hub_pairs(with_root, order, percent) if turn < 2 else _other_pairs(with_root, texts, percent)
-        estimated = materialize(_estimated(pairs, nodes, percent))
+        estimated = _stored(_estimated(pairs, nodes, percent))
         found = estimated.where("sure").select("a", "b").unionByName(_confirmed(estimated.where("not sure"), texts, percent))
         edges = found.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        links = materialize(edges if links is None else edges.unionByName(links))
+        links = _stored(edges if links is None else edges.unionByName(links))
         roots = connected_components(links)
     named = sets.select("doc_id", "text_key", "n", "node").join(roots, "node", "left").withColumn(
         "root", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "node")))
-    return materialize(named.select("doc_id", "text_key", "n", "root"))
+    return _stored(named.select("doc_id", "text_key", "n", "root"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:

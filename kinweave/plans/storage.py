@@ -27,6 +27,11 @@ TASK_BYTES = "spark.sql.files.maxPartitionBytes"
 #: Parsed documents are more than ten times as large in memory as in compressed files, so a task takes less than Spark's own 128 MB of them.
 DOCUMENT_BYTES = 32 * 1024 * 1024
 
+#: Fixed value: Spark's setting for the rows that a Python function gets at once.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of whole texts at once: JVM and Python worker each hold a batch of them, in buffers twice as large.
+TEXT_ROWS = 1_000
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -77,6 +82,18 @@ def documents_split(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(TASK_BYTES, before)
 
 
+@contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside hand texts to Python in small batches; a smaller setting stays."""
+    before = spark.conf.get(BATCH_ROWS)
+    given = int(before)
+    spark.conf.set(BATCH_ROWS, str(min(given, TEXT_ROWS) if given > 0 else TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a DataFrame once and read it back."""
     path = f"{working_dir(df.sparkSession)}/{uuid.uuid4().hex}"

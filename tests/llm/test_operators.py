@@ -498,3 +498,20 @@ def test_latin_text_is_cut_into_the_tokenizers_own_runs():
         assert np.frombuffer(ids, "<u2").tolist() == (want(text) if text else []), text
     wide, counts = WordEncoder(tokenizers.path(queries.TOKENIZER)).encode(texts)
     assert wide.tolist() == [i for t in texts if t for i in want(t)] and counts.sum() == len(wide) and wide.dtype == np.uint32
+
+
+def test_near_duplicates_take_texts_in_small_batches(save, monkeypatch):
+    """What a task holds does not depend on how many rows Spark would hand over at once."""
+    from kinweave.plans import storage
+    seen, own, docs = [], minhash_dedup.materialize, save([(k, f"some words of text {k % 7} and more", "en", "a") for k in range(50)])
+    conf = docs.sparkSession.conf
+    monkeypatch.setattr(minhash_dedup, "materialize", lambda df: seen.append(int(conf.get(storage.BATCH_ROWS))) or own(df))
+    before = conf.get(storage.BATCH_ROWS)
+    assert sorted(r.kept for r in minhash_dedup.near_duplicates(docs).collect()) == [False] * 43 + [True] * 7
+    assert seen and max(seen) <= storage.TEXT_ROWS and conf.get(storage.BATCH_ROWS) == before
+    conf.set(storage.BATCH_ROWS, "3")
+    try:
+        minhash_dedup.components(docs)
+        assert seen[-1] == 3 and conf.get(storage.BATCH_ROWS) == "3"
+    finally:
+        conf.set(storage.BATCH_ROWS, before)
