@@ -17,6 +17,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from kinweave.llm import blocks as B
 
@@ -26,8 +28,12 @@ UNKNOWN_SCORE = -40.0
 BLANK = "▁"
 #: Blanks and the word behind them.
 WORD = re.compile(" +[^ ]*|[^ ]+")
+#: The same in a text of several lines, with the line feeds.
+LINED = re.compile("\n| +[^ \n]*|[^ \n]+")
 #: Stands for a ``▁`` of the text itself, which is written as bytes; no word of a text has ``▁`` behind another character.
 LITERAL = "\x00" + BLANK
+#: Between words; no byte of UTF-8.
+APART = b"\xff"
 #: Partitions of the lattice per shuffle partition, so that a partition's edges are grouped in memory, and shards per partition.
 FINER, SHARDS = 6, 2
 #: First characters by which the pieces that may begin at a place are told apart.
@@ -130,28 +136,38 @@ def words_of(text: str | None, cut: Cutter | None = None) -> list[str]:
         if n:
             out.append("\n")
         for word in WORD.findall(line if n else " " + line):
-            if BLANK not in word and (len(word) <= MAX_WORD or cut is None):
-                out.append(word.replace(" ", BLANK))
-                continue
-            for j, run in enumerate(word.split(BLANK)):
-                if j:
-                    out.append(LITERAL)
-                run = run.replace(" ", BLANK)
-                if run:
-                    out.extend([run] if len(run) <= MAX_WORD or cut is None else cut(run))
+            out.extend(_parts(word, cut))
     return out
 
 
+def _parts(word: str, cut: Cutter | None) -> list[str]:
+    """A word with its blanks marked, in parts if it holds a literal ``▁`` or is too long."""
+    if BLANK not in word and (len(word) <= MAX_WORD or cut is None):
+        return [word.replace(" ", BLANK)]
+    out: list[str] = []
+    for j, run in enumerate(word.split(BLANK)):
+        if j:
+            out.append(LITERAL)
+        run = run.replace(" ", BLANK)
+        if run:
+            out.extend([run] if len(run) <= MAX_WORD or cut is None else cut(run))
+    return out
+
+
+class Places(dict):
+    """Numbers of distinct words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 def _write_words(words: list[str]) -> bytes:
-    raw = [w.encode() for w in words]
-    return zstandard.compress(B.to_bytes(np.array([len(r) for r in raw], "<u2")) + b"".join(raw), 1)
+    return zstandard.compress(APART.join([w.encode() for w in words]), 6)
 
 
 def _read_words(data: bytes) -> list[str]:
-    data = zstandard.decompress(data)
-    (sizes,) = B.from_bytes(data, "<u2")
-    stops = np.cumsum(sizes, dtype=np.int64) + 8 + 2 * len(sizes)
-    return [data[stop - n:stop].decode() for stop, n in zip(stops.tolist(), sizes.tolist())]
+    return [w.decode() for w in zstandard.decompress(data).split(APART)]
 
 
 def best_paths(words: DataFrame, pieces: DataFrame) -> DataFrame:
@@ -187,15 +203,24 @@ def best_paths(words: DataFrame, pieces: DataFrame) -> DataFrame:
             s -> s.top.path) as path""")
 
 
-def _cut_block(table: pa.Table, cut: Cutter, shards: int) -> bytes:
-    """A block as its distinct words, by shard, and every document's places among them; the place behind the last is the literal mark."""
-    place: dict[str, int] = {}
-    counts = np.zeros(table.num_rows, np.int64)
-    at: list[int] = []
-    for k, text in enumerate(table.column("text").to_pylist()):
-        words = words_of(text, cut)
-        counts[k] = len(words)
-        at.extend([place.setdefault(w, len(place)) for w in words])
+def _cut_block(table: pa.Table, cut: Cutter, shards: int) -> tuple[bytes, list[tuple[int, bytes]]]:
+    """(a block as every document's places among its distinct words, which lie by shard, [(shard, its words)]).
+
+    The place behind the last is the literal mark.
+    """
+    seen = Places()
+    upto, found = [0], []
+    for text in table.column("text").to_pylist():
+        if text:
+            found.extend(map(seen.__getitem__, words_of(text, cut) if cut.over else LINED.findall(" " + text)))
+        upto.append(len(found))
+    place = Places()
+    parts = [[place[p] for p in ([w] if cut.over else _parts(w, cut))] for w in seen]
+    sizes, flat, first = np.array([len(p) for p in parts], np.int64), np.array([i for p in parts for i in p], np.int64), np.array(found, np.int64)
+    n = sizes[first]
+    ends = np.cumsum(n)
+    at = flat[np.repeat((np.cumsum(sizes) - sizes)[first] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+    counts = np.diff(np.concatenate([[0], ends])[np.array(upto)])
     mark = place.pop(LITERAL, None)
     names = list(place)
     shard = (B.word_hashes([w.encode() for w in names])[:, 0] % np.uint64(shards)).astype(np.int64)
@@ -208,22 +233,23 @@ def _cut_block(table: pa.Table, cut: Cutter, shards: int) -> bytes:
     docs = pa.table({"doc_id": table.column("doc_id"), "n": pa.array(counts)})
     with pa.ipc.new_stream(ids, docs.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_table(docs.combine_chunks())
-    parts = [ids.getvalue().to_pybytes(), zstandard.compress(B.to_bytes(shard[order].astype("<u4")), 1), _write_words([names[k] for k in order]),
-             zstandard.compress(B.to_bytes(rank[np.array(at, np.int64)].astype(kind)), 3)]
-    return np.array([len(p) for p in parts], "<i8").tobytes() + kind.encode() + b"".join(parts)
+    stored = [ids.getvalue().to_pybytes(), zstandard.compress(B.to_bytes(shard[order].astype("<u4")), 1),
+              zstandard.compress(B.to_bytes(rank[at].astype(kind)), 6)]
+    asked = B.split_by(shard[order], np.array([names[k] for k in order], object))
+    return np.array([len(p) for p in stored], "<i8").tobytes() + kind.encode() + b"".join(stored), [(s, _write_words(own.tolist())) for s, (own,) in asked]
 
 
-def _open_block(payload) -> tuple[pa.Table, np.ndarray, list[str], np.ndarray]:
-    """(documents with their number of words, shard of each word, words, places of all documents' words)."""
+def _open_block(payload) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+    """(documents with their number of words, shard of each word, places of all documents' words)."""
     data = bytes(payload)
-    sizes, kind, at = np.frombuffer(data, "<i8", 4), data[32:35].decode(), 35
+    sizes, kind, at = np.frombuffer(data, "<i8", 3), data[24:27].decode(), 27
     parts = []
     for n in sizes.tolist():
         parts.append(data[at:at + n])
         at += n
     (shard,) = B.from_bytes(zstandard.decompress(parts[1]), "<u4")
-    (places,) = B.from_bytes(zstandard.decompress(parts[3]), kind)
-    return pa.ipc.open_stream(parts[0]).read_all(), shard.astype(np.int64), _read_words(parts[2]), places
+    (places,) = B.from_bytes(zstandard.decompress(parts[2]), kind)
+    return pa.ipc.open_stream(parts[0]).read_all(), shard.astype(np.int64), places
 
 
 def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,31 +264,24 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
     byte_ids = np.array(pieces.bytes, np.int64)
     cut = Cutter(pieces)
 
+    # Texts are cut into words once. A block's row (key -1 - block) holds places only, its words go to their shards (key shard).
     def cut_blocks(batches):
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([_cut_block(B.unpack(payload.as_buffer()), cut, shards)], pa.binary())],
-                                                 names=["block", "payload"])
-
-    # Texts are cut into words once; blocks hold the words and their places from then on.
-    packed = B.pack(rows, exchange=False).mapInArrow(cut_blocks, "block long, payload binary").repartition("block")
-
-    def request(batches):
-        for batch in batches:
-            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                _, shard, words, _ = _open_block(payload.as_buffer())
-                found = list(B.split_by(shard, np.array(words, object)))
+                own, asked = _cut_block(B.unpack(payload.as_buffer()), cut, shards)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([s for s, _ in found], pa.int32()), pa.array([block] * len(found), pa.int64()),
-                    pa.array([_write_words(own.tolist()) for _, (own,) in found], pa.binary())], names=["shard", "block", "data"])
+                    pa.array([-1 - block, *[s for s, _ in asked]], pa.int64()), pa.array([block] * (len(asked) + 1), pa.int64()),
+                    pa.array([own, *[d for _, d in asked]], pa.binary())], names=["key", "block", "data"])
 
     def distinct(table: pa.Table) -> pa.Table:
-        words = sorted(set().union(*map(_read_words, table.column("data").to_pylist())))
-        return pa.table({"shard": pa.array([table.column("shard")[0].as_py()] * len(words), pa.int32()),
+        shard = table.column("key")[0].as_py()
+        words = sorted(set().union(*map(_read_words, table.column("data").to_pylist()))) if shard >= 0 else []
+        return pa.table({"shard": pa.array([shard] * len(words), pa.int64()),
                          "place": pa.array(range(len(words)), pa.int32()), "word": pa.array(words, pa.string())})
 
     def reply(asked: pa.Table, paths: pa.Table) -> pa.Table:
-        lists = [_read_words(d) for d in asked.column("data").to_pylist()]
+        shard = asked.column("key")[0].as_py()
+        lists = [_read_words(d) for d in asked.column("data").to_pylist()] if shard >= 0 else []
         words = sorted(set().union(*lists))
         place = {w: k for k, w in enumerate(words)}
         order = np.argsort(paths.column("place").to_numpy())
@@ -273,18 +292,20 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
             if min(path) < 0:
                 path = [i for c in path for i in ([c] if c >= 0 else byte_ids[list(w[-1 - c].encode())].tolist())]
             ids.append(np.array(path, "<u4"))
-        blocks, data = asked.column("block"), []
+        blocks, data = [-1 - b for b in asked.column("block").to_pylist()][:len(lists)], []
         for own in lists:
             got = [ids[place[w]] for w in own]
-            data.append(zstandard.compress(B.to_bytes(np.array([asked.column("shard")[0].as_py()], "<i8")) + B.to_bytes(
-                np.array([len(g) for g in got], "<u2")) + np.concatenate(got).astype("<u2" if pieces.size <= 1 << 16 else "<u4").tobytes(), 1))
-        return pa.table({"block": blocks, "data": pa.array(data, pa.binary())})
+            data.append(zstandard.compress(B.to_bytes(np.array([shard], "<i8")) + B.to_bytes(
+                np.array([len(g) for g in got], "<u2")) + np.concatenate(got).astype("<u2" if pieces.size <= 1 << 16 else "<u4").tobytes(), 3))
+        return pa.table({"key": pa.array(blocks, pa.int64()), "data": pa.array(data, pa.binary())})
 
     def last(left: pa.Table, right: pa.Table) -> pa.Table:
-        return pa.concat_tables([put_together(p.as_buffer(), right.column("data").to_pylist()) for p in left.column("payload")])
+        if left.column("key")[0].as_py() >= 0:
+            return nothing
+        return pa.concat_tables([put_together(p.as_buffer(), right.column("data").to_pylist()) for p in left.column("data")])
 
     def put_together(payload, answers) -> pa.Table:
-        docs, shard, _, at = _open_block(payload)
+        docs, shard, at = _open_block(payload)
         sizes, ids = np.zeros(len(shard) + 1, np.int64), {}
         for a in map(zstandard.decompress, answers):
             (s,) = B.from_bytes(a, "<i8")
@@ -303,14 +324,15 @@ def encode(docs: DataFrame, pieces: Pieces, doc_id: str = "doc_id", text: str =
         return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": pa.array(np.diff(upto)), "ids": pa.chunked_array(
             [pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(flat[take], pa.int32()))])})
 
-    # One exchange by shard for the distinct words and for the answers; both read it in the same partitions.
-    requests = packed.mapInArrow(request, B.REQUEST).repartition(parts, "shard")
+    # One exchange by key for blocks, distinct words and answers; all read it in the same partitions.
+    dealt = B.pack(rows, exchange=False).mapInArrow(cut_blocks, "key long, block long, data binary").repartition(parts, "key")
     # Dealt by shard again, as Spark does not see that the function keeps it: edges, paths and answers then need no exchange.
-    words = requests.groupBy("shard").applyInArrow(distinct, "shard int, place int, word string").repartition(parts, "shard")
+    words = dealt.groupBy("key").applyInArrow(distinct, "shard long, place int, word string").repartition(parts, "shard")
     paths = best_paths(words, pieces.table(spark))
-    replies = requests.groupBy("shard").cogroup(paths.groupBy("shard")).applyInArrow(reply, B.REPLY)
-    kind = dict(rows.dtypes)["doc_id"]
-    return packed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(last, f"doc_id {kind}, n_tokens long, ids array<int>")
+    replies = dealt.groupBy("key").cogroup(paths.groupBy("shard")).applyInArrow(reply, "key long, data binary")
+    schema = StructType([StructField("doc_id", rows.schema["doc_id"].dataType), StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType()))])
+    nothing = to_arrow_schema(schema).empty_table()
+    return dealt.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(last, schema)
 
 
 def decode(ids: Column, pieces: Pieces) -> Column:

@@ -515,3 +515,17 @@ def test_near_duplicates_take_texts_in_small_batches(save, monkeypatch):
         assert seen[-1] == 3 and conf.get(storage.BATCH_ROWS) == "3"
     finally:
         conf.set(storage.BATCH_ROWS, before)
+
+
+def test_pieces_blocks_hold_no_words(pieces):
+    """A block's distinct words are written once, for their shards; the block keeps their places only."""
+    import pyarrow as pa
+    texts = [" ".join(f"w{k * 7919 % 10007}x" for k in range(j, j + 400)) for j in range(0, 4000, 400)] + [None, "", "a\u2581b\n c"]
+    cut = lattice.Cutter(pieces)
+    own, asked = lattice._cut_block(pa.table({"doc_id": list(range(len(texts))), "text": texts}), cut, 16)
+    docs, shard, at = lattice._open_block(own)
+    names = [w for _, data in asked for w in lattice._read_words(data)]
+    assert [s for s, data in asked for _ in lattice._read_words(data)] == shard.tolist() and len(names) == len(set(names))
+    want = [lattice.words_of(t, cut) for t in texts]
+    assert docs.column("n").to_pylist() == list(map(len, want))
+    assert [(names + [lattice.LITERAL])[k] for k in at] == [w for ws in want for w in ws]
