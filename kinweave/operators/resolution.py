@@ -14,7 +14,7 @@ from kinweave.operators.components import connected_components, hub_edges
 from kinweave.operators.matching import by_kind, master_rule_values, raw_rule_values
 from kinweave.operators.ordered import keyed, settle
 from kinweave.operators.sequential import resolve_in_order
-from kinweave.operators.similarity import fuzzy_edges, similar_texts
+from kinweave.operators.similarity import fuzzy_edges, similar_pairs
 from kinweave.plans.ordering import add_sequence
 from kinweave.plans.skew import MIN_HOT_ROWS, lookup_join
 from kinweave.plans.storage import materialize
@@ -199,7 +199,7 @@ def resolve_ordered(raw: DataFrame, masters: DataFrame | None = None, as_of: str
     asked = asked.select("seq", "tenant_id", "rule_id", "value")
     for r in fuzzy:
         texts = held.where(F.col("rule_id") == r.id).select("tenant_id", "rule_id", F.col("value").alias("text")).distinct()
-        near = similar_texts(texts, texts, r.threshold).select("tenant_id", "rule_id", F.col("a").alias("value"), F.col("b").alias("near"))
+        near = similar_pairs(texts, r.threshold).select("tenant_id", "rule_id", F.col("a").alias("value"), F.col("b").alias("near"))
         own = brought.where(F.col("rule_id") == r.id).select("seq", "tenant_id", "rule_id", "value")
         asked = asked.unionByName(own.join(near, ["tenant_id", "rule_id", "value"]).select("seq", "tenant_id", "rule_id", F.col("near").alias("value")))
     held_keys, asked_keys = keyed(held.select("seq", "tenant_id", "rule_id", "value", F.col("rule_id").isin(scalar).alias("slot")), asked,

@@ -6,7 +6,10 @@ Names repeat a lot, so the comparison runs on distinct values only and the resul
 from __future__ import annotations
 
 import math
+from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,10 @@ from kinweave.plans.storage import materialize
 FIRST_LEVEL, GROWTH = 1024, 16
 #: Rows under one trigram that a share takes.
 HEAVY_GRAM = 20_000
+#: Trigrams that two texts must have in common to be compared, at most, and subsets of so many trigrams that a text is put under for one length.
+LARGEST, SUBSETS = 4, 16
+#: Sets of up to so many trigrams are told apart by their exact size, larger ones by sizes that grow by a share.
+EXACT_SIZES, GROWING = 20, 1.05
 
 
 def _distinct_values(raw_values: DataFrame, master_values: DataFrame):
@@ -121,6 +128,114 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     return _met(one, two, threshold).select("tenant_id", "rule_id", F.col("text_a").alias("a"), F.col("text_b").alias("b"), "measure")
 
 
+def _size_class(n: int) -> int:
+    return n if n <= EXACT_SIZES else EXACT_SIZES + int(math.log(n / EXACT_SIZES) / math.log(GROWING))
+
+
+def _subset_plan(sizes: list[int], threshold: float) -> dict[int, tuple[list[tuple[int, np.ndarray]], int]]:
+    """Per set size: (seed, places of each subset in the rare-to-frequent order) for every class of partner sizes, and the trigrams to be put under alone.
+
+    Two sets with ``need`` common trigrams have ``l`` of them among the first ``size - need + l`` of each (Wang et al. 2012). ``l`` is as large as
+    the number of subsets allows; where only 1 is left, one prefix serves all partners.
+    """
+    classes: dict[int, list[int]] = {}
+    for n in sizes:
+        classes.setdefault(_size_class(n), []).append(n)
+    out = {}
+    for n in sizes:
+        own, subsets, alone = _size_class(n), [], 0
+        for other, members in classes.items():
+            need = math.ceil((min(classes[own]) + min(members)) * threshold / (1 + threshold) - 1e-6)
+            if need > min(n, max(members)):
+                continue
+            most = max(*classes[own], *members) - need
+            together = max(k for k in range(1, LARGEST + 1) if k == 1 or k <= need and math.comb(k + most, k) <= SUBSETS)
+            if together == 1:
+                alone = n - max(1, math.ceil(n * threshold - 1e-6)) + 1
+                continue
+            seed = (min(own, other) << 40) + (max(own, other) << 8) + together
+            subsets.append((seed, np.array(list(combinations(range(n - need + together), together)), dtype=np.int64)))
+        out[n] = subsets, alone
+    return out
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _put_under(plan: dict, threshold: float):
+    """(id, scope, n, sign, tokens) -> (subset, id, n, sign): every text under the subsets of its plan."""
+    width = -math.log(min(threshold, 0.9))
+
+    def run(batches):
+        for batch in batches:
+            ids, n, sign = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "n", "sign"))
+            scope = batch.column("scope").to_numpy().view(np.uint64)
+            flat = batch.column("tokens").flatten().to_numpy().view(np.uint64)
+            starts = np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64)
+            for size in np.unique(n).tolist():
+                rows = np.flatnonzero(n == size)
+                tokens, base = flat[starts[rows][:, None] + np.arange(size)], _mixed(scope[rows])[:, None]
+                subsets, alone = plan[size]
+                # Sizes similar enough lie in the same band or in neighbouring ones, so they meet under one of two.
+                band = int(math.log(size) / width + 1e-9)
+                puts = subsets + [(-1 - band - d, np.arange(alone)[:, None]) for d in (0, 1) if alone]
+                for seed, places in puts:
+                    h = base ^ np.uint64(seed & 0xFFFFFFFFFFFFFFFF)
+                    for k in range(places.shape[1]):
+                        h = _mixed(h + tokens[:, places[:, k]])
+                    each = places.shape[0]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(ids[rows], each)), pa.array(np.repeat(n[rows], each)),
+                        pa.array(np.repeat(sign[rows], each))], names=["subset", "id", "n", "sign"])
+    return run
+
+
+def _ranked_sets(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The numbered texts with their trigrams, and (id, scope, n, tokens, sign): trigrams of a text from rare to frequent, with their sign (see ``_prefixes``)."""
+    scope = ["tenant_id", "rule_id"]
+    texts = texts.dropna(subset=scope).withColumn("grams", trigrams("text")).withColumn("n", F.size("grams")).where("n > 0")
+    texts = materialize(texts.withColumn("id", F.monotonically_increasing_id()))
+    tokens = texts.select("id", *scope, F.explode("grams").alias("gram"))
+    frequency = tokens.groupBy(*scope, "gram").agg(F.count("*").alias("df"))
+    ranked = tokens.join(frequency, [*scope, "gram"]).groupBy("id", F.xxhash64(*scope).alias("scope")).agg(
+        F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("sorted"))
+    sign = "aggregate(tokens, 0L, (s, g) -> s ^ shiftleft(1L, cast(pmod(g, 64) as int)))"
+    ranked = ranked.select("id", "scope", F.size("sorted").alias("n"), F.transform("sorted", lambda e: F.xxhash64(e["gram"])).alias("tokens"))
+    return texts, materialize(ranked.withColumn("sign", F.expr(sign)))
+
+
+def _meeting(ranked: DataFrame, threshold: float) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: texts that meet under a subset and whose lengths and signs allow them to be similar, each pair once."""
+    sizes = [r.n for r in ranked.select("n").distinct().orderBy("n").collect()]
+    put = ranked.mapInArrow(_put_under(_subset_plan(sizes, threshold), threshold), "subset long, id long, n int, sign long")
+    one, two = (put.select("subset", *[F.col(c).alias(f"{c}_{m}") for c in ("id", "n", "sign")]) for m in "ab")
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6))
+    apart = F.bit_count(F.col("sign_a").bitwiseXOR(F.col("sign_b"))) <= F.col("n_a") + F.col("n_b") - 2 * need
+    return one.join(two, "subset").where((F.col("id_a") < F.col("id_b")) & (need <= F.least("n_a", "n_b")) & apart).select("id_a", "id_b").distinct()
+
+
+def similar_pairs(texts: DataFrame, threshold: float) -> DataFrame:
+    """(tenant_id, rule_id, a, b, measure) of all similar pairs of the distinct texts (tenant_id, rule_id, text) of one table, in both directions
+    and of each text with itself.
+
+    Names made of few trigrams have many of them in common with very many others, so texts meet under several common trigrams at once, not under
+    one. Of what meets, lengths and signs are looked at first; the trigrams are fetched for the pairs that are left.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must be in (0, 1]")
+    scope = ["tenant_id", "rule_id"]
+    texts, ranked = _ranked_sets(texts)
+    side = lambda m: texts.select(F.col("id").alias(f"id_{m}"), *[F.col(c).alias(f"{c}_{m}") for c in (*scope, "text", "grams")])
+    pairs = _meeting(ranked, threshold).join(side("a"), "id_a").join(side("b"), "id_b").where("tenant_id_a = tenant_id_b and rule_id_a = rule_id_b")
+    pairs = materialize(pairs.withColumn("measure", similarity("grams_a", "grams_b")).where(F.col("measure") >= threshold - 1e-9).select(
+        F.col("tenant_id_a").alias("tenant_id"), F.col("rule_id_a").alias("rule_id"), F.col("text_a").alias("a"), F.col("text_b").alias("b"), "measure"))
+    return pairs.unionByName(pairs.select(*scope, F.col("b").alias("a"), F.col("a").alias("b"), "measure")).unionByName(
+        texts.select(*scope, F.col("text").alias("a"), F.col("text").alias("b"), F.lit(1.0).alias("measure")))
+
+
 def fuzzy_edges(values: DataFrame, rules, node: str = "seq") -> DataFrame:
     """(u, v, rule_id, attribute), u > v: edges between the first nodes of similar texts that connect whatever the trigram rules connect.
 

@@ -94,9 +94,20 @@ def text_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(BATCH_ROWS, before)
 
 
+def new_path(spark: SparkSession) -> str:
+    return f"{working_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def appended(df: DataFrame, path: str, *partitions: str) -> DataFrame:
+    """Add rows to the table at a path of ``new_path`` and read the table, in folders by the columns given."""
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("append").partitionBy(*partitions).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a DataFrame once and read it back."""
-    path = f"{working_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     with shuffles_dropped(df.sparkSession):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

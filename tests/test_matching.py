@@ -1,6 +1,7 @@
 """Match rules against brute force over all pairs."""
 
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -89,6 +90,35 @@ def test_trigram_match_is_complete(spark, threshold):
     assert got == want
 
 
+def words(rng, most):
+    return " ".join("".join(rng.choice("ab1") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, most)))
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.6, 0.8, 1.0])
+def test_similar_pairs_of_one_table(spark, threshold):
+    """Short and long texts, of two tenants and none, and texts without trigrams."""
+    rng = random.Random(7)
+    texts = {words(rng, 4) for _ in range(70)} | {words(rng, 20) for _ in range(15)} | {f"Customer#{k:09d}" for k in range(995, 1035)} | {"", "#!"}
+    texts |= {t + " b" for t in list(texts)[::5]}
+    rows = [(tenant, 4, t) for tenant in ("t0", "t1", None) for t in sorted(texts) if tenant != "t1" or rng.random() < 0.5]
+    got = similarity.similar_pairs(spark.createDataFrame(rows, "tenant_id string, rule_id int, text string"), threshold).collect()
+    want = {}
+    for tenant, r, a in rows:
+        for other, _, b in rows:
+            x, y = (grams(re.sub("[^a-z0-9]+", " ", text.lower())) for text in (a, b))
+            if tenant is not None and tenant == other and x | y and len(x & y) / len(x | y) >= threshold - 1e-9:
+                want[tenant, r, a, b] = len(x & y) / len(x | y)
+    assert len(got) == len(want) and {tuple(r)[:4]: r.measure for r in got} == pytest.approx(want)
+
+
+def test_numbered_names_meet_few_others(spark):
+    """Names of few trigrams share most of them with very many others, but are compared with few."""
+    names = spark.range(20_000, 24_000).selectExpr("'t' as tenant_id", "4 as rule_id", "format_string('Customer#%09d', id) as text")
+    met = similarity._meeting(similarity._ranked_sets(names)[1], 0.8).count()
+    similar = similarity.similar_pairs(names, 0.8).where("a < b").count()
+    assert similar <= met <= 8 * 4000
+
+
 def edit(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

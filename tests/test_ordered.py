@@ -80,6 +80,27 @@ def test_hot_value_settles_in_few_rounds(spark):
     assert {r.seq: r.master for r in got.collect()} == {s: m for s, (m, _) in want.items()}
 
 
+def test_long_chain_settles_in_few_blocks(spark):
+    """Every row asks for the value of the row before, which owns it only if that row founded a master: each decision hangs on the last one."""
+    nodes = spark.range(700).select(F.col("id").alias("seq"), (F.col("id") < 2).alias("is_prior"))
+    held = nodes.select("seq", F.lit("t").alias("tenant_id"), F.lit(3).alias("rule_id"), F.col("seq").cast("string").alias("value"), F.lit(True).alias("slot"))
+    asked = nodes.select("seq", F.lit("t").alias("tenant_id"), F.lit(3).alias("rule_id"), F.explode(F.array(
+        F.col("seq").cast("string"), (F.col("seq") - 1).cast("string"))).alias("value"))
+    got = ordered.settle(nodes, *ordered.keyed(held, asked, 1400), max_rounds=9, block_bits=8)
+    want = one_by_one([(s, s < 2, {3: [str(s)]}, {} if s < 2 else {3: [str(s), str(s - 1)]}) for s in range(700)])
+    assert {r.seq: (r.master, r.rule_id) for r in got.collect()} == want
+    with pytest.raises(RuntimeError):
+        ordered.settle(nodes, *ordered.keyed(held, asked, 1400), max_rounds=2, block_bits=8)
+
+
+def test_rows_without_identifiers_found_masters(spark):
+    nodes = spark.range(5).select(F.col("id").alias("seq"), F.lit(False).alias("is_prior"))
+    held = spark.createDataFrame([(1, None, 3, "x", True), (2, None, 3, "x", True)], "seq long, tenant_id string, rule_id int, value string, slot boolean")
+    for some in (held, held.limit(0)):
+        got = ordered.settle(nodes, *ordered.keyed(some, some.drop("slot"), 5))
+        assert {r.seq: (r.master, r.rule_id) for r in got.collect()} == {s: (s, None) for s in range(5)}
+
+
 RULES = (Rule(1, "crm_source_id", kind="map"), Rule(2, "email", ignore_case=True), Rule(3, "web_visitor_id", kind="array"),
          Rule(4, "last_name", "fuzzy_trgm", 0.6), Rule(5, "first_name", "fuzzy_dmetaphone"))
 
